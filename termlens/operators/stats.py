@@ -82,3 +82,45 @@ def drop_duplicate_passages(tokens: DataFrame, group_col: str, shingle: int = 6,
                          F.explode(F.sequence("position", F.col("position") + shingle - 1)).alias("position"))
     drop = covered.join(keep, [group_col, id_col, "position"], "left_anti").distinct()
     return tokens.join(drop, [group_col, id_col, "position"], "left_anti")
+
+
+HEURISTICS = ("lift", "llr")
+
+
+def _xlogx_term(k: Column, row: Column, col: Column, n: Column) -> Column:
+    """``k * ln(k * n / (row * col))`` with ``0 ln 0 = 0``."""
+    return F.when(k > 0, k * F.log((k * n) / (row * col))).otherwise(F.lit(0.0))
+
+
+def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", id_col: str = "doc_id",
+                      analyzer: str = "lower", min_doc_count: int = 1, size: int = 10,
+                      heuristic: str = "lift", background_df: DataFrame | None = None) -> DataFrame:
+    """A4 for document groups: terms over-represented in each group's documents
+    (foreground) against the whole collection (background, which contains them).
+
+    ``lift`` = (fg / fg_n) / (bg / N); ``llr`` = Dunning's G^2 (1993) over the 2x2 table
+    (in group, holds term).  Only terms with fg / fg_n > bg / N are kept; top ``size``
+    per group by score (rounded to 9 places), then term.
+    """
+    fg = foreground(docs, group_col, text_col, id_col, analyzer, min_doc_count)
+    bg = background_df if background_df is not None else background(docs, text_col, id_col, analyzer)
+    sizes = (docs.where(F.col(text_col).isNotNull()).groupBy(group_col)
+             .agg(F.count(F.lit(1)).cast("bigint").alias("fg_n")))
+    n = corpus_size(docs, text_col).cast("double")
+    j = fg.join(bg, "term").join(sizes, group_col)
+    fgc, bgc, fgn = (F.col(c).cast("double") for c in ("fg_count", "bg_count", "fg_n"))
+    j = j.where(fgc * n > bgc * fgn)
+    if heuristic == "lift":
+        score = (fgc * n) / (fgn * bgc)
+    elif heuristic == "llr":
+        k11, k12, k21 = fgc, fgn - fgc, bgc - fgc
+        k22 = n - fgn - bgc + fgc
+        r1, r2, c1, c2 = fgn, n - fgn, bgc, n - bgc
+        score = 2.0 * (_xlogx_term(k11, r1, c1, n) + _xlogx_term(k12, r1, c2, n)
+                       + _xlogx_term(k21, r2, c1, n) + _xlogx_term(k22, r2, c2, n))
+    else:
+        raise ValueError(f"unknown heuristic {heuristic!r}; expected one of {HEURISTICS}")
+    w = Window.partitionBy(group_col).orderBy(F.col("_rs").desc(), F.col("term"))
+    return (j.withColumn("score", score).withColumn("_rs", F.round("score", 9))
+            .withColumn("rank", F.row_number().over(w).cast("bigint"))
+            .where(F.col("rank") <= size).drop("_rs"))
