@@ -52,7 +52,12 @@ def query(name: str):
     return deco
 
 
+_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    if name in _KEYS:
+        return SRC.read_documents(spark, f"{sf}/{name}.parquet", key=_KEYS[name])
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

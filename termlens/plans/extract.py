@@ -140,6 +140,20 @@ def _analyzed_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
     return step.select(*cols)
 
 
+def locate(docs: DataFrame, keyterms_df: DataFrame, cfg: ExtractConfig | None = None, **overrides) -> DataFrame:
+    """H9 / H8 for keyterms chosen elsewhere: ``keyterms_df(id, term)`` (terms in the
+    analysed form of ``cfg``'s analyser) located in the highlight field of ``docs``.
+    Same output as ``extract``."""
+    cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
+    _check(cfg)
+    idc = cfg.id_col
+    kts = H.keyterm_sets(keyterms_df.select(idc, "term"), idc)
+    base = eligible(docs, cfg).select(idc, F.col(cfg.highlight).alias("_hl")).join(kts, idc, "left")
+    hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt")
+    per = base.join(H.hit_arrays(hits, idc), idc, "left")
+    return _analyzed_result(per, cfg) if cfg.use_termvectors else _raw_result(per, cfg)
+
+
 def extract(docs: DataFrame, cfg: ExtractConfig | None = None, background: DataFrame | None = None,
             n_docs: Column | None = None, **overrides) -> DataFrame:
     """One row per eligible document: ``(id, keywords, offsets[, contexts])``.
