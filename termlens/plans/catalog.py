@@ -471,3 +471,13 @@ def audit_scope(spark, sf):
     d = _labelled(spark, sf)
     cfg = RAW.with_(must_have_fields=("quality",))
     return _audit(AU.audit_scope(E.extract(d, cfg), E.eligible(d, cfg)))
+
+
+# --- streaming -----------------------------------------------------------------------------------
+
+@query("stream_extract")
+def stream_extract(spark, sf):
+    from ..streaming import stream as STR
+    background = spark.read.parquet(f"{sf}/documents.parquet")
+    res = STR.stream_extract(spark, sf, "documents.parquet", background, RAW)
+    return E.flatten_result(res, RAW)

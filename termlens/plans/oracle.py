@@ -310,5 +310,10 @@ for _chk, _name in (("offsets", "audit_offsets"), ("keyterms", "audit_keyterms")
     SQL[_name] = f"SELECT '{_chk}' AS \"check\", CAST(0 AS BIGINT) AS violations, TRUE AS has_checked"
 
 
+# The stream drains the whole table against the stored background of the whole table, so
+# its rows equal the batch extraction's.
+SQL["stream_extract"] = SQL["extract_raw"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in SQL.items() if k in C.QUERIES}
