@@ -5,16 +5,17 @@ the paper ("bli" -> "ble" instead of "abli" -> "able", and "logi" -> "log"), and
 words of one or two characters alone.  Any character other than a, e, i, o, u (and a
 "y" after a vowel) counts as a consonant, so digits and apostrophes pass through.
 
-The stemmer is a per-word helper.  Spark applies it through an Arrow-batched pandas UDF
-over each document's *distinct* lower-cased words; the per-token mapping is then a native
-``map_from_arrays`` / ``element_at`` lookup.
+The stemmer is a per-word helper.  Spark applies it through an Arrow UDF over arrays of
+lower-cased words: each Arrow batch is dictionary-encoded, so Python stems each distinct
+word of the batch once and the result is gathered back in Arrow.
 """
 
 from __future__ import annotations
 
 import sys
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -217,17 +218,35 @@ def porter_stem(word: str) -> str:
     return w.result()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_arrays(words: pd.Series) -> pd.Series:
-    cache: dict = {}
+_CACHE: dict = {}
+_CACHE_LIMIT = 1 << 20
 
-    def one(w):
-        s = cache.get(w)
-        if s is None:
-            s = cache[w] = porter_stem(w)
-        return s
 
-    return words.map(lambda ws: None if ws is None else [one(w) for w in ws])
+def _stem_dictionary(words: list) -> list:
+    """Stems of a batch's distinct words, memoised per Python worker (bounded)."""
+    if len(_CACHE) > _CACHE_LIMIT:
+        _CACHE.clear()
+    out = []
+    for w in words:
+        s = _CACHE.get(w)
+        if s is None:
+            s = _CACHE[w] = porter_stem(w)
+        out.append(s)
+    return out
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stem_arrays(words: pa.Array) -> pa.Array:
+    """Arrow in, Arrow out: the batch's words are dictionary-encoded, only the
+    dictionary (its distinct words) is stemmed in Python, and the stems are gathered
+    back into the original list layout."""
+    flat = pc.list_flatten(words)
+    enc = pc.dictionary_encode(flat).combine_chunks() if isinstance(flat, pa.ChunkedArray) \
+        else pc.dictionary_encode(flat)
+    stems = pa.array(_stem_dictionary(enc.dictionary.to_pylist()), pa.string())
+    values = stems.take(enc.indices)
+    offsets = pc.subtract(words.offsets, words.offsets[0])
+    return pa.ListArray.from_arrays(offsets, values, mask=words.is_null())
 
 
 # Ship this module's code with the UDF, so executors need no installed package.

@@ -1,9 +1,8 @@
 """Column-level text functions: tokens, case folding, stemming, marks, offset strings.
 
 Everything here returns a ``Column`` built from native Spark expressions, so it runs in
-the JVM inside whole-stage code generation.  The only Python on the hot path is the
-Porter stemmer (``functions.stem``), which is applied to each document's distinct words,
-not to every token.
+the JVM.  The only Python on the hot path is the Porter stemmer (``functions.stem``), an
+Arrow UDF that stems each distinct word of an Arrow batch once.
 """
 
 from __future__ import annotations
@@ -32,6 +31,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    An array expression referenced inside a higher-order function's lambda is evaluated
+    again for every element; binding it first keeps per-document work linear."""
+    return F.element_at(F.transform(F.array(_c(value)), body), 1)
+
+
 def token_array(text) -> Column:
     """T1, no offsets: the tokens of ``text`` in order (array<string>)."""
     return F.regexp_extract_all(_c(text), F.lit(TOKEN_PATTERN), 0)
@@ -52,12 +59,22 @@ def light_stem(term) -> Column:
 
     Rules, first that applies: ``-ies`` (not ``-eies``/``-aies``) -> ``-y``;
     ``-es`` (not ``-aes``/``-ees``/``-oes``) -> ``-e``; ``-s`` (not ``-us``/``-ss``) -> drop.
+    Each rule needs a character before the suffix.  Written with suffix tests and
+    ``substring`` rather than regular expressions: it runs once per token.
     """
     t = _c(term)
+    n = F.length(t)
+
+    def before(k):  # the character just before a suffix of length k
+        return F.substring(t, n - k, 1)
+
+    def stem(k, repl):
+        return F.concat(F.substring(t, F.lit(1), n - k), F.lit(repl))
+
     return (
-        F.when(t.rlike("[^ea]ies$"), F.regexp_replace(t, "ies$", "y"))
-        .when(t.rlike("[^aeo]es$"), F.regexp_replace(t, "es$", "e"))
-        .when(t.rlike("[^us]s$"), F.regexp_replace(t, "s$", ""))
+        F.when((n > 3) & F.endswith(t, F.lit("ies")) & ~before(3).isin("e", "a"), stem(3, "y"))
+        .when((n > 2) & F.endswith(t, F.lit("es")) & ~before(2).isin("a", "e", "o"), stem(2, "e"))
+        .when((n > 1) & F.endswith(t, F.lit("s")) & ~before(1).isin("u", "s"), stem(1, ""))
         .otherwise(t)
     )
 
@@ -83,17 +100,19 @@ def mark_terms(text, hits) -> Column:
     """H3: splice ``<em>``/``</em>`` round each hit of ``hits`` (array<struct<start,end>>,
     sorted, disjoint, 0-based end-exclusive code-point offsets) into ``text``."""
     t = _c(text)
-    h = _c(hits)
 
-    def piece(x, i):
-        prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(h, i)["end"])
-        gap = F.substring(t, prev_end + 1, x["start"] - prev_end)
-        word = F.substring(t, x["start"] + 1, x["end"] - x["start"])
-        return F.concat(gap, F.lit(LEFT_MARK), word, F.lit(RIGHT_MARK))
+    def marked(h):
+        def piece(x, i):
+            prev_end = F.when(i == 0, F.lit(0)).otherwise(F.element_at(h, i)["end"])
+            gap = F.substring(t, prev_end + 1, x["start"] - prev_end)
+            word = F.substring(t, x["start"] + 1, x["end"] - x["start"])
+            return F.concat(gap, F.lit(LEFT_MARK), word, F.lit(RIGHT_MARK))
+
+        last_end = F.coalesce(F.try_element_at(h, F.lit(-1))["end"], F.lit(0))
+        tail = F.substring(t, last_end + 1, F.length(t) - last_end + 1)
+        return F.concat(F.array_join(F.transform(h, piece), ""), tail)
 
-    last_end = F.coalesce(F.element_at(h, -1)["end"], F.lit(0))
-    tail = F.substring(t, last_end + 1, F.length(t) - last_end + 1)
-    return F.concat(F.array_join(F.transform(h, piece), ""), tail)
+    return let(hits, marked)
 
 
 def marked_terms(line) -> Column:

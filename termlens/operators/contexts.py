@@ -62,21 +62,37 @@ def fragment_groups(hits: Column, fragment_size: int = 100, max_fragments: int =
     return F.aggregate(hits, zero, merge)
 
 
+_NEAR = 64  # characters inspected first when growing a window edge to a whole word
+
+
 def _grow_left(text: Column, ws: Column) -> Column:
+    """Move ``ws`` left to the start of the word it cuts.  The word is looked for in
+    the ``_NEAR`` characters before ``ws``; only a word reaching that far falls back to
+    the whole prefix, so the result is exact and usually O(_NEAR)."""
     inside = (ws > 0) & F.substring(text, ws, 2).rlike(f"^{X.WORD_CHAR}{{2}}$")
-    run = F.length(F.regexp_extract(F.reverse(F.substring(text, F.lit(1), ws)), f"^{X.WORD_CHAR}+", 0))
+    span = F.least(ws, F.lit(_NEAR))
+    near = F.length(F.regexp_extract(F.reverse(F.substring(text, ws - span + 1, span)), f"^{X.WORD_CHAR}+", 0))
+    full = F.length(F.regexp_extract(F.reverse(F.substring(text, F.lit(1), ws)), f"^{X.WORD_CHAR}+", 0))
+    run = F.when(near < span, near).otherwise(full)
     return F.when(inside, ws - run).otherwise(ws)
 
 
 def _grow_right(text: Column, we: Column) -> Column:
+    """Move ``we`` right to the end of the word it cuts (same bounded look first)."""
     n = F.length(text)
     inside = (we < n) & F.substring(text, we, 2).rlike(f"^{X.WORD_CHAR}{{2}}$")
-    run = F.length(F.regexp_extract(F.substring(text, we + 1, n - we), f"^{X.WORD_CHAR}+", 0))
+    near = F.length(F.regexp_extract(F.substring(text, we + 1, F.lit(_NEAR)), f"^{X.WORD_CHAR}+", 0))
+    full = F.length(F.regexp_extract(F.substring(text, we + 1, n - we), f"^{X.WORD_CHAR}+", 0))
+    run = F.when(near < _NEAR, near).otherwise(full)
     return F.when(inside, we + run).otherwise(we)
 
 
 def fragment_windows(groups: Column, text: Column, fragment_size: int = 100) -> Column:
     """Steps 2-4: array<struct<start, end>> character windows, one per group."""
+    return X.let(groups, lambda g: _fragment_windows(g, text, fragment_size))
+
+
+def _fragment_windows(groups: Column, text: Column, fragment_size: int) -> Column:
     n = F.length(text).cast("bigint")
     size = F.lit(fragment_size).cast("bigint")
 
@@ -104,17 +120,19 @@ def cut_text(text: Column, windows: Column) -> Column:
 def islands(positions: Column, w: int = 3) -> Column:
     """W1 on a sorted array of hit positions: array<struct<first, last>> of islands,
     a new island iff the gap to the previous hit exceeds ``2w``."""
-    p = positions
-    starts = F.filter(F.sequence(F.lit(1), F.size(p)),
-                      lambda i: (i == 1) | (F.element_at(p, i) - F.element_at(p, F.greatest(i - 1, F.lit(1))) > 2 * w))
-    return F.transform(
-        starts,
-        lambda s, j: F.struct(
-            F.element_at(p, s).alias("first"),
-            F.element_at(p, F.when(j + 1 < F.size(starts), F.element_at(starts, j + 2) - 1)
-                         .otherwise(F.size(p))).alias("last"),
-        ),
-    )
+    def from_positions(p):
+        starts = F.filter(F.sequence(F.lit(1), F.size(p)),
+                          lambda i: (i == 1) | (F.element_at(p, i) - F.element_at(p, F.greatest(i - 1, F.lit(1))) > 2 * w))
+        return X.let(starts, lambda st: F.transform(
+            st,
+            lambda s, j: F.struct(
+                F.element_at(p, s).alias("first"),
+                F.element_at(p, F.when(j + 1 < F.size(st), F.element_at(st, j + 2) - 1)
+                             .otherwise(F.size(p))).alias("last"),
+            ),
+        ))
+
+    return X.let(positions, from_positions)
 
 
 def island_windows(isl: Column, w: int = 3, inclusive: bool = True) -> Column:
@@ -127,8 +145,8 @@ def island_windows(isl: Column, w: int = 3, inclusive: bool = True) -> Column:
 
 def slice_windows(terms: Column, windows: Column) -> Column:
     """array<array<string>>: ``terms[lo..hi]`` (0-based, inclusive) per window."""
-    return F.transform(windows, lambda x: F.slice(terms, (x["lo"] + 1).cast("int"),
-                                                  (x["hi"] - x["lo"] + 1).cast("int")))
+    return X.let(terms, lambda t: F.transform(windows, lambda x: F.slice(t, (x["lo"] + 1).cast("int"),
+                                                                         (x["hi"] - x["lo"] + 1).cast("int"))))
 
 
 def context_windows(hits: DataFrame, w: int = 3, id_col: str = "doc_id") -> DataFrame:

@@ -47,12 +47,17 @@ def group_offsets(hits: Column, key: str, order: str = "first") -> Column:
     """A10 on one document's sorted hit array: ``struct<keys, offsets>`` where
     ``offsets[i]`` lists (start, end) of ``keys[i]``.  ``order='first'``: keys by first
     occurrence (raw mode); ``order='key'``: keys sorted (term-vector order)."""
-    keys = F.array_distinct(F.transform(hits, lambda h: h[key]))
-    if order == "key":
-        keys = F.array_sort(keys)
-    offs = F.transform(keys, lambda k: F.transform(F.filter(hits, lambda h: h[key] == k),
+    def build(hv):
+        keys = F.array_distinct(F.transform(hv, lambda h: h[key]))
+        if order == "key":
+            keys = F.array_sort(keys)
+        return X.let(keys, lambda kv: F.struct(
+            kv.alias("keys"),
+            F.transform(kv, lambda k: F.transform(F.filter(hv, lambda h: h[key] == k),
                                                   lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"))))
-    return F.struct(keys.alias("keys"), offs.alias("offsets"))
+            .alias("offsets")))
+
+    return X.let(hits, build)
 
 
 def highlighted_text(text: Column, hits: Column) -> Column:

@@ -113,3 +113,16 @@ def test_islands_equal_sequential_rule(spark, positions, w):
     df = spark.createDataFrame([(sorted(positions),)], "p array<bigint>")
     got = df.select(CX.island_windows(CX.islands(F.col("p"), w), w, inclusive=False).alias("x")).first().x
     assert [(x.lo, x.hi + 1) for x in got] == seq_islands(positions, w)
+
+
+def test_window_edges_inside_long_words(spark):
+    # words longer than the bounded look-around on both window edges
+    long_left, long_right = "a" * 150, "b" * 170
+    text = f"{long_left} key {long_right} tail"
+    hits = [(151, 154)]
+    df = spark.createDataFrame([(text, [{"start": 151, "end": 154}])],
+                               "t string, h array<struct<start:bigint,end:bigint>>")
+    fg = CX.fragment_groups(F.col("h"), 100, 8)
+    row = df.select(CX.fragment_windows(fg["groups"], F.col("t"), 100).alias("w")).first()
+    want, _ = seq_fragments(text, hits, 100, 8)
+    assert [(w.start, w.end) for w in row.w] == want == [(0, len(long_left) + 5 + len(long_right))]
