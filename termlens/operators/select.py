@@ -27,13 +27,13 @@ RULES = ("rarest", "tfidf")
 
 def stopword_filter(df: DataFrame, stopwords, term_col: str = "term") -> DataFrame:
     """P3.  A list is a literal ``NOT IN`` (bounded: it is a parameter, not data); a
-    DataFrame of stop words is a ``left_anti`` join, broadcast because a stop-word list
-    is a word list, not a table that grows with the collection."""
+    DataFrame of stop words is a ``left_anti`` join whose strategy Spark picks from the
+    measured size (a broadcast when the list is small, a shuffle join otherwise)."""
     if stopwords is None:
         return df
     if isinstance(stopwords, DataFrame):
         sw = stopwords.select(F.col(stopwords.columns[0]).alias(term_col)).distinct()
-        return df.join(F.broadcast(sw), term_col, "left_anti")
+        return df.join(sw, term_col, "left_anti")
     words = sorted(set(stopwords))
     if not words:
         return df

@@ -145,3 +145,14 @@ def test_write_merged(spark, tmp_path):
     counts = U.write_merged(target, upd, str(tmp_path / "out"), mode="upsert", counts=True)
     assert counts == {"updated": 1, "unchanged": 0, "inserted": 1}
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "y"), (2, "z")]
+
+
+def test_cli_update(spark, tmp_path):
+    from termlens import cli
+    src = str(tmp_path / "docs")
+    spark.createDataFrame([(1, "alpha beta"), (2, "gamma beta"), (3, None)], SCHEMA).write.parquet(src)
+    counts = cli.main([src, "text", "text", "--output", str(tmp_path / "out"), "--stopwords", "none",
+                       "--extract-contexts"])
+    assert counts == {"updated": 2, "unchanged": 1, "inserted": 0}
+    out = {r.doc_id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert out[1].keywords == ["alpha"] and out[3].keywords is None and out[1].contexts == ["alpha beta"]
