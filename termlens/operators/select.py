@@ -74,8 +74,10 @@ def keyterms(docs: DataFrame, eligible: DataFrame | None = None, text_col: str =
     to extract for (default: all).  ``background``/``n_docs`` may be passed in to reuse
     a stored background (incremental and streaming runs).
     """
-    bg = background if background is not None else ST.background(docs, text_col, id_col, analyzer)
-    n = n_docs if n_docs is not None else ST.corpus_size(docs, text_col)
+    if background is None:
+        bg, n = ST.background_and_size(docs, text_col, id_col, analyzer)
+    else:
+        bg, n = background, n_docs if n_docs is not None else ST.corpus_size(docs, text_col)
     target = eligible if eligible is not None else docs
     if rule == "tfidf":
         cand = TK.term_frequencies(target, text_col, id_col, analyzer)

@@ -22,6 +22,23 @@ def background(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             .groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("bg_count")))
 
 
+def background_and_size(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                        analyzer: str = "lower"):
+    """A1 and A2 from one aggregate: each document adds an empty-string marker to its
+    distinct terms (no token is empty), so the marker's count is the number of
+    documents.  Returns ``(bg, n)``: ``bg`` keeps the marker row, which can never join
+    a token; ``n`` is a scalar subquery over the same aggregate written without a
+    filter on the grouping key, so its exchange is identical to the background's and
+    Spark reuses it instead of scanning the text again to count documents."""
+    marked = (docs.where(F.col(text_col).isNotNull())
+              .select(F.explode(F.concat(TK.distinct_terms_array(F.col(text_col), analyzer),
+                                         F.array(F.lit("")))).alias("term")))
+    counts = marked.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("bg_count"))
+    n = (counts.where(F.col("term").isNotNull())
+         .select(F.max(F.when(F.col("term") == "", F.col("bg_count"))).alias("n")).scalar())
+    return counts, n
+
+
 def corpus_size(docs: DataFrame, text_col: str = "text") -> Column:
     """A2: number of documents with text, as a scalar-subquery column (no action on the
     driver and no join: Spark runs it as a separate one-row job)."""
@@ -103,10 +120,13 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     per group by score (rounded to 9 places), then term.
     """
     fg = foreground(docs, group_col, text_col, id_col, analyzer, min_doc_count)
-    bg = background_df if background_df is not None else background(docs, text_col, id_col, analyzer)
+    if background_df is not None:
+        bg, n = background_df, corpus_size(docs, text_col)
+    else:
+        bg, n = background_and_size(docs, text_col, id_col, analyzer)
+    n = n.cast("double")
     sizes = (docs.where(F.col(text_col).isNotNull()).groupBy(group_col)
              .agg(F.count(F.lit(1)).cast("bigint").alias("fg_n")))
-    n = corpus_size(docs, text_col).cast("double")
     j = fg.join(bg, "term").join(sizes, group_col)
     fgc, bgc, fgn = (F.col(c).cast("double") for c in ("fg_count", "bg_count", "fg_n"))
     j = j.where(fgc * n > bgc * fgn)
