@@ -9,14 +9,14 @@
 
 Shuffles: the doc-term pairs twice (once as partial counts), top-k rows (at most k per
 document per map task), and the eligible text once; every per-document step after that
-reuses the hash partitioning on the document id.  Broadcasts are left to AQE, which
-measures the real size of each join side at run time.
+reuses the hash partitioning on the document id.  The collection size rides on the
+background aggregate (a marker row per document), so it costs no extra scan.  Broadcasts
+are left to Spark's size threshold and AQE, which measures each join side at run time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +26,6 @@ from ..functions import text as X
 from ..operators import contexts as CX
 from ..operators import hits as H
 from ..operators import select as SEL
-from ..operators import stats as ST
 from ..operators import tokens as TK
 from ..sources import documents as SRC
 
@@ -55,7 +54,6 @@ class ExtractConfig:
     keywords_field: str = "keywords"
     offsets_field: str = "offsets"
     contexts_field: str = "contexts"
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "ExtractConfig":
         return replace(self, **kw)

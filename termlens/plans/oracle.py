@@ -108,7 +108,7 @@ isl AS (SELECT doc_id, CAST(island AS BIGINT) AS island, CAST(greatest(min(posit
           CAST(max(position) + {w} AS BIGINT) AS hi FROM isl_n GROUP BY doc_id, island)"""
 
 
-def _raw_base(k_src="_src") -> str:
+def _raw_base() -> str:
     return ",\n".join([src(), tokens(), keyterms(), hits()])
 
 
