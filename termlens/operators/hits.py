@@ -33,13 +33,13 @@ def hit_arrays(hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(id, hits)``: each document's hits sorted by start (array<struct<start, end,
     position, surface, term>>).  Bounded by the document's own length."""
     return hits.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "position", "surface", "term"))).alias("hits"))
+        F.sort_array(F.collect_list(F.struct("start", "end", "position", "surface", "term"))).alias("hits"))
 
 
 def offsets_by(hits: DataFrame, key: str, id_col: str = "doc_id") -> DataFrame:
     """A8 (``key='surface'``) / A9 (``key='term'``): ``(id, key, offsets, first_start)``."""
     return hits.groupBy(id_col, key).agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("offsets"),
+        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("offsets"),
         F.min("start").alias("first_start"))
 
 
@@ -50,7 +50,7 @@ def group_offsets(hits: Column, key: str, order: str = "first") -> Column:
     def build(hv):
         keys = F.array_distinct(F.transform(hv, lambda h: h[key]))
         if order == "key":
-            keys = F.array_sort(keys)
+            keys = F.sort_array(keys)
         return X.let(keys, lambda kv: F.struct(
             kv.alias("keys"),
             F.transform(kv, lambda k: F.transform(F.filter(hv, lambda h: h[key] == k),

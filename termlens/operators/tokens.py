@@ -115,12 +115,12 @@ def term_frequencies(docs: DataFrame, text_col: str = "text", id_col: str = "doc
 def term_vectors(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """T5: per ``(id, term)`` the occurrences sorted by position."""
     return (tokens.groupBy(id_col, "term")
-            .agg(F.array_sort(F.collect_list(F.struct("position", "start", "end"))).alias("occurrences")))
+            .agg(F.sort_array(F.collect_list(F.struct("position", "start", "end"))).alias("occurrences")))
 
 
 def tokens_in_order(vectors: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rebuild each document's term sequence (text order) from its term vector."""
     occ = vectors.select(id_col, "term", F.explode("occurrences").alias("o"))
     return (occ.groupBy(id_col)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col("o.position").alias("position"), "term"))).alias("_s"))
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("o.position").alias("position"), "term"))).alias("_s"))
             .select(id_col, F.transform("_s", lambda x: x["term"]).alias("terms")))

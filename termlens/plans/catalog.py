@@ -404,7 +404,7 @@ def _updates(spark, sf):
     gives an update for an id that no document has."""
     d = _labelled(spark, sf)
     kt = E.keyterms(_docs(spark, sf), RAW).groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_list("term")), " ").alias("kw"))
+        F.array_join(F.sort_array(F.collect_list("term")), " ").alias("kw"))
     lab = (d.where(F.col("quality").isNotNull()).select("doc_id", "toxic").join(kt, "doc_id", "left")
            .select("doc_id", F.when(F.col("toxic") == 0, F.col("kw")).alias("keywords")))
     bench = _t(spark, sf, "benchmark").select(

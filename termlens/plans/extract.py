@@ -132,7 +132,7 @@ def _analyzed_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
         if cfg.context_order == "position":
             ctx = CX.slice_windows(F.col("_terms"), CX.island_windows(isl, w, inclusive=True))
         else:
-            vocab = F.array_sort(F.array_distinct(F.col("_terms")))
+            vocab = F.sort_array(F.array_distinct(F.col("_terms")))
             ctx = CX.slice_windows(vocab, CX.island_windows(isl, w, inclusive=False))
         cols.append(F.when(has, ctx).alias(cfg.contexts_field))
     return step.select(*cols)

@@ -110,7 +110,7 @@ def sentences_to_docs(pieces: DataFrame, n: int = 5, seq_col: str = "turn", text
     chunk = (F.floor(F.col(seq_col) / n) + id_offset).cast("bigint").alias("doc_no")
     return (pieces.where(F.col(text_col).isNotNull())
             .groupBy(*g, chunk)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(seq_col).alias("s"), F.col(text_col).alias("t")))).alias("_p"),
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(seq_col).alias("s"), F.col(text_col).alias("t")))).alias("_p"),
                  F.count(F.lit(1)).cast("bigint").alias("n_pieces"))
             .select(*g, "doc_no", F.array_join(F.transform("_p", lambda x: x["t"]), sep).alias("text"), "n_pieces"))
 
