@@ -77,8 +77,10 @@ def _check(cfg: ExtractConfig) -> None:
 
 
 def eligible(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
-    """S1 with the keyword and highlight fields always required."""
-    return SRC.eligible_docs(docs, list(cfg.must_have_fields) + [cfg.keyword_col, cfg.highlight],
+    """S1 with the id, keyword and highlight fields always required (a result is
+    written back by id, so a row without one cannot be updated).  Requiring the id also
+    gives every branch of the plan the same scan, so the text exchange is reused."""
+    return SRC.eligible_docs(docs, [cfg.id_col] + list(cfg.must_have_fields) + [cfg.keyword_col, cfg.highlight],
                              cfg.must_not_have_fields)
 
 
