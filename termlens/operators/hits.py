@@ -21,12 +21,12 @@ def keyterm_sets(keyterms: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def keyterm_hits(docs_with_kt: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                 analyzer: str = "lower", kt_col: str = "kt") -> DataFrame:
+                 analyzer: str = "lower", kt_col: str = "kt", terms_col: str | None = None) -> DataFrame:
     """H1: ``(id, position, surface, term, start, end)`` for every occurrence of a
     keyterm in ``text_col`` (the highlight field, which may differ from the field the
-    keyterms came from)."""
+    keyterms came from).  ``terms_col``: precomputed aligned terms (see ``tokenize``)."""
     return TK.tokenize(docs_with_kt.where(F.col(kt_col).isNotNull()), text_col, id_col,
-                       analyzer, flag_terms=kt_col)
+                       analyzer, flag_terms=kt_col, terms_col=terms_col)
 
 
 def hit_arrays(hits: DataFrame, id_col: str = "doc_id") -> DataFrame:

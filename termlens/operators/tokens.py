@@ -39,6 +39,9 @@ def analyze_array(tokens: Column, analyzer: str = "lower") -> Column:
     raise ValueError(f"unknown analyzer {analyzer!r}; expected one of {ANALYZERS}")
 
 
+PYTHON_ANALYZERS = ("english",)
+
+
 def distinct_terms_array(text: Column, analyzer: str = "lower") -> Column:
     """Distinct terms of one text.  For the stemmer, words are de-duplicated before the
     Python call, so Python sees each document's vocabulary once."""
@@ -50,17 +53,24 @@ def distinct_terms_array(text: Column, analyzer: str = "lower") -> Column:
 
 def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
              analyzer: str = "lower", prepartition: bool = True,
-             flag_terms: str | None = None) -> DataFrame:
+             flag_terms: str | None = None, terms_col: str | None = None) -> DataFrame:
     """T1+T4: ``(id, position, surface, term, start, end)`` for every token.
 
     ``flag_terms`` names an array<string> column of ``docs``; when given, only tokens
     whose term is in it are returned (the hit filter is decided per document before the
     explode, so the keyterm array is never copied onto token rows).
+
+    ``terms_col`` names a precomputed array of terms aligned with the tokens (for
+    example Porter stems computed before a join).  A Python UDF evaluated here, after
+    the shuffle on ``id``, would hide that partitioning from the window below and cost
+    a second shuffle of the token rows.
     """
     d = docs.where(F.col(text_col).isNotNull())
     cols = [F.col(id_col), F.col(text_col).alias("_text")]
     if flag_terms:
         cols.append(F.col(flag_terms).alias("_kt"))
+    if terms_col:
+        cols.append(F.col(terms_col).alias("_pre_terms"))
     d = d.select(*cols)
     if prepartition:
         d = d.repartition(id_col)
@@ -70,7 +80,9 @@ def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         toks.alias("_toks"),
         X.gap_array("_text").alias("_gaps"),
         *([F.col("_kt")] if flag_terms else []),
-    ).withColumn("_terms", analyze_array(F.col("_toks"), analyzer))
+        *([F.col("_pre_terms")] if terms_col else []),
+    )
+    d = d.withColumn("_terms", F.col("_pre_terms") if terms_col else analyze_array(F.col("_toks"), analyzer))
     pieces = F.transform(
         F.col("_toks"),
         lambda t, i: F.struct(

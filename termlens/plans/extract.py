@@ -93,15 +93,28 @@ def keyterms(docs: DataFrame, cfg: ExtractConfig, background: DataFrame | None =
                         background, n_docs)
 
 
+def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    """Eligible documents left-joined to their keyterm sets, tokenised, hits kept and
+    gathered per document: ``(id, _hl[, _terms], kt, hits)``.
+
+    With a Python analyser the aligned term array is computed on the document rows
+    *before* the join, so it travels in the same (reused) text exchange, the offsets
+    window keeps the join's partitioning, and analysed contexts reuse the column."""
+    idc = cfg.id_col
+    cols = [idc, F.col(cfg.highlight).alias("_hl")]
+    pre = cfg.term_analyzer in TK.PYTHON_ANALYZERS
+    if pre:
+        cols.append(TK.analyze_array(X.token_array(cfg.highlight), cfg.term_analyzer).alias("_terms"))
+    base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
+    hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
+    return base.join(H.hit_arrays(hits, idc), idc, "left")
+
+
 def per_document_hits(docs: DataFrame, cfg: ExtractConfig, background: DataFrame | None = None,
                       n_docs: Column | None = None) -> DataFrame:
     """``(id, _hl, kt, hits)`` for every eligible document; ``hits`` is the sorted hit
     array (null when the document has no keyterm or no hit)."""
-    idc = cfg.id_col
-    kts = H.keyterm_sets(keyterms(docs, cfg, background, n_docs), idc)
-    base = eligible(docs, cfg).select(idc, F.col(cfg.highlight).alias("_hl")).join(kts, idc, "left")
-    hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt")
-    return base.join(H.hit_arrays(hits, idc), idc, "left")
+    return _with_hits(docs, H.keyterm_sets(keyterms(docs, cfg, background, n_docs), cfg.id_col), cfg)
 
 
 def _raw_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
@@ -123,20 +136,25 @@ def _raw_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
 def _analyzed_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
     h = F.col("hits")
     w = cfg.termvectors_window_size
-    step = per.select(cfg.id_col, "_hl", "hits", H.group_offsets(h, "term", "key").alias("_go"))
+    pre = [c for c in ("_terms",) if c in per.columns]
+    step = per.select(cfg.id_col, "_hl", "hits", *pre, H.group_offsets(h, "term", "key").alias("_go"))
     has = F.size("hits") > 0
     cols = [cfg.id_col,
             F.when(has, F.col("_go.keys")).alias(cfg.keywords_field),
             F.when(has, F.col("_go.offsets")).alias(cfg.offsets_field)]
     if cfg.extract_contexts:
-        step = step.withColumn("_terms", F.when(has, TK.analyze_array(X.token_array("_hl"), cfg.term_analyzer)))
+        if not pre:
+            step = step.withColumn("_terms", F.when(has, TK.analyze_array(X.token_array("_hl"), cfg.term_analyzer)))
         isl = CX.islands(F.transform(h, lambda x: x["position"]), w)
         if cfg.context_order == "position":
             ctx = CX.slice_windows(F.col("_terms"), CX.island_windows(isl, w, inclusive=True))
         else:
             vocab = F.sort_array(F.array_distinct(F.col("_terms")))
             ctx = CX.slice_windows(vocab, CX.island_windows(isl, w, inclusive=False))
-        cols.append(F.when(has, ctx).alias(cfg.contexts_field))
+        # ``length(_hl) >= 0`` always holds for eligible rows; referencing the text keeps
+        # this branch's input identical to the hit branch's, so Spark reuses that single
+        # text exchange instead of shuffling the text (and stemming it) a second time.
+        cols.append(F.when(has & (F.length("_hl") >= 0), ctx).alias(cfg.contexts_field))
     return step.select(*cols)
 
 
@@ -146,11 +164,7 @@ def locate(docs: DataFrame, keyterms_df: DataFrame, cfg: ExtractConfig | None =
     Same output as ``extract``."""
     cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
     _check(cfg)
-    idc = cfg.id_col
-    kts = H.keyterm_sets(keyterms_df.select(idc, "term"), idc)
-    base = eligible(docs, cfg).select(idc, F.col(cfg.highlight).alias("_hl")).join(kts, idc, "left")
-    hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt")
-    per = base.join(H.hit_arrays(hits, idc), idc, "left")
+    per = _with_hits(docs, H.keyterm_sets(keyterms_df.select(cfg.id_col, "term"), cfg.id_col), cfg)
     return _analyzed_result(per, cfg) if cfg.use_termvectors else _raw_result(per, cfg)
 
 
