@@ -110,22 +110,38 @@ def _xlogx_term(k: Column, row: Column, col: Column, n: Column) -> Column:
 
 def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", id_col: str = "doc_id",
                       analyzer: str = "lower", min_doc_count: int = 1, size: int = 10,
-                      heuristic: str = "lift", background_df: DataFrame | None = None) -> DataFrame:
+                      heuristic: str = "lift", background_df: DataFrame | None = None,
+                      shard_size: int | None = None, sample_score: Column | None = None,
+                      filter_duplicate_text: bool = False, shingle: int = 6) -> DataFrame:
     """A4 for document groups: terms over-represented in each group's documents
     (foreground) against the whole collection (background, which contains them).
 
     ``lift`` = (fg / fg_n) / (bg / N); ``llr`` = Dunning's G^2 (1993) over the 2x2 table
     (in group, holds term).  Only terms with fg / fg_n > bg / N are kept; top ``size``
     per group by score (rounded to 9 places), then term.
+
+    As in the original request, the foreground may first be sampled (A5: the
+    ``shard_size`` best documents of each group by ``sample_score``, ties by id) and have its
+    repeated passages removed before counting (A6, ``filter_duplicate_text``).  The
+    background is always the whole collection.
     """
-    fg = foreground(docs, group_col, text_col, id_col, analyzer, min_doc_count)
+    fdocs = docs.where(F.col(text_col).isNotNull())
+    if shard_size is not None and shard_size >= 0:
+        fdocs = sampled_foreground(fdocs, group_col, sample_score if sample_score is not None else F.lit(0),
+                                   shard_size, id_col)
+    if filter_duplicate_text:
+        toks = TK.tokenize(fdocs, text_col, id_col, analyzer).join(fdocs.select(id_col, group_col), id_col)
+        pairs = drop_duplicate_passages(toks, group_col, shingle, id_col).select(group_col, id_col, "term").distinct()
+        fg = (pairs.groupBy(group_col, "term").agg(F.count(F.lit(1)).cast("bigint").alias("fg_count"))
+              .where(F.col("fg_count") >= min_doc_count))
+    else:
+        fg = foreground(fdocs, group_col, text_col, id_col, analyzer, min_doc_count)
     if background_df is not None:
         bg, n = background_df, corpus_size(docs, text_col)
     else:
         bg, n = background_and_size(docs, text_col, id_col, analyzer)
     n = n.cast("double")
-    sizes = (docs.where(F.col(text_col).isNotNull()).groupBy(group_col)
-             .agg(F.count(F.lit(1)).cast("bigint").alias("fg_n")))
+    sizes = fdocs.groupBy(group_col).agg(F.count(F.lit(1)).cast("bigint").alias("fg_n"))
     j = fg.join(bg, "term").join(sizes, group_col)
     fgc, bgc, fgn = (F.col(c).cast("double") for c in ("fg_count", "bg_count", "fg_n"))
     j = j.where(fgc * n > bgc * fgn)

@@ -39,6 +39,7 @@ SENTENCES_PER_DOC = 3
 MIN_BG_FILTER = 5
 NULL_RESULT_MIN_BG = 2
 SHINGLE = 6
+GROUP_SHARD = 20
 UNKNOWN_ID_BASE = 1_000_000_000
 # ---------------------------------------------------------------------------------------
 
@@ -164,6 +165,17 @@ def significant_terms_llr(spark, sf):
         .select("source", "term", "fg_count", "bg_count", F.round("score", 6).alias("score"), "rank")
 
 
+@query("significant_terms_sampled")
+def significant_terms_sampled(spark, sf):
+    """Group significance as the original request composes it: sampler (A5), duplicate
+    passages removed (A6), then lift against the whole collection."""
+    d = _docs(spark, sf)
+    return ST.significant_terms(d, "source", min_doc_count=GROUP_MIN_DOCS, size=GROUP_TOP, heuristic="lift",
+                                shard_size=GROUP_SHARD, sample_score=F.col("n_chars"),
+                                filter_duplicate_text=True, shingle=SHINGLE) \
+        .select("source", "term", "fg_count", "bg_count", F.round("score", 6).alias("score"), "rank")
+
+
 @query("sampled_foreground")
 def sampled_foreground(spark, sf):
     d = _docs(spark, sf).where(F.col("text").isNotNull())

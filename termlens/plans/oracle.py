@@ -173,20 +173,48 @@ SQL["sampled_foreground"] = f"""SELECT source, doc_id FROM (
   SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rn
   FROM documents WHERE text IS NOT NULL) WHERE rn <= {C.SAMPLE_SIZE}"""
 _SH = C.SHINGLE
+
+
+def dedup(tl: str = "tl", grp: str = "lang", shingle: int = _SH) -> str:
+    """CTEs sh0 .. dr over token rows ``tl(doc_id, position, term, grp)``; ``dr`` holds
+    the (grp, doc_id, position) of tokens covered only by repeated passages."""
+    leads = ", ".join(f"lead(term, {i}) OVER (PARTITION BY doc_id ORDER BY position)" for i in range(1, shingle))
+    return f"""sh0 AS (SELECT {grp}, doc_id, position, concat_ws(chr(1), term, {leads}) AS shingle,
+          lead(term, {shingle - 1}) OVER (PARTITION BY doc_id ORDER BY position) IS NOT NULL AS is_full FROM {tl}),
+sh AS (SELECT {grp}, doc_id, position, shingle FROM sh0 WHERE is_full),
+own AS (SELECT {grp}, shingle, arg_min(doc_id, (doc_id, position)) AS od, arg_min(position, (doc_id, position)) AS op
+        FROM sh GROUP BY {grp}, shingle),
+dup AS (SELECT s.{grp}, s.doc_id, s.position FROM sh s JOIN own o USING ({grp}, shingle) WHERE s.doc_id <> o.od OR s.position <> o.op),
+kd AS (SELECT * FROM sh ANTI JOIN dup USING ({grp}, doc_id, position)),
+keep AS (SELECT DISTINCT s.{grp}, s.doc_id, s.position + rr.r AS position FROM kd s, range({shingle}) AS rr(r)),
+cov AS (SELECT DISTINCT d.{grp}, d.doc_id, d.position + rr.r AS position FROM dup d, range({shingle}) AS rr(r)),
+dr AS (SELECT * FROM cov ANTI JOIN keep USING ({grp}, doc_id, position))"""
+
+
 SQL["drop_duplicate_passages"] = f"""WITH {src()},
 {tokens()},
 tl AS (SELECT t.doc_id, t.position, t.term, d.lang FROM tokens t JOIN documents d USING (doc_id)),
-sh0 AS (SELECT lang, doc_id, position,
-          concat_ws(chr(1), term, {', '.join(f'lead(term, {i}) OVER (PARTITION BY doc_id ORDER BY position)' for i in range(1, _SH))}) AS shingle,
-          lead(term, {_SH - 1}) OVER (PARTITION BY doc_id ORDER BY position) IS NOT NULL AS is_full FROM tl),
-sh AS (SELECT lang, doc_id, position, shingle FROM sh0 WHERE is_full),
-own AS (SELECT lang, shingle, arg_min(doc_id, (doc_id, position)) AS od, arg_min(position, (doc_id, position)) AS op FROM sh GROUP BY lang, shingle),
-dup AS (SELECT s.lang, s.doc_id, s.position FROM sh s JOIN own o USING (lang, shingle) WHERE s.doc_id <> o.od OR s.position <> o.op),
-kd AS (SELECT * FROM sh ANTI JOIN dup USING (lang, doc_id, position)),
-keep AS (SELECT DISTINCT s.lang, s.doc_id, s.position + rr.r AS position FROM kd s, range({_SH}) AS rr(r)),
-cov AS (SELECT DISTINCT d.lang, d.doc_id, d.position + rr.r AS position FROM dup d, range({_SH}) AS rr(r)),
-dr AS (SELECT * FROM cov ANTI JOIN keep USING (lang, doc_id, position))
+{dedup()}
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_kept FROM tl ANTI JOIN dr USING (lang, doc_id, position) GROUP BY doc_id"""
+SQL["significant_terms_sampled"] = f"""WITH {src()},
+{keyterms()},
+samp AS (SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rn
+         FROM documents WHERE text IS NOT NULL) WHERE rn <= {C.GROUP_SHARD}),
+_ssrc AS (SELECT doc_id, t FROM _src WHERE doc_id IN (SELECT doc_id FROM samp)),
+{tokens(source='_ssrc', name='stok')},
+tl AS (SELECT t.doc_id, t.position, t.term, s.source FROM stok t JOIN samp s USING (doc_id)),
+{dedup('tl', 'source')},
+kept AS (SELECT * FROM tl ANTI JOIN dr USING (source, doc_id, position)),
+fg AS (SELECT source, term, CAST(count(DISTINCT doc_id) AS BIGINT) AS fg_count FROM kept GROUP BY source, term
+       HAVING count(DISTINCT doc_id) >= {C.GROUP_MIN_DOCS}),
+gn AS (SELECT source, CAST(count(*) AS BIGINT) AS fg_n FROM samp GROUP BY source),
+j AS (SELECT fg.source, fg.term, fg.fg_count, bg.bg_count,
+        CAST(fg.fg_count AS DOUBLE) AS k11, CAST(bg.bg_count AS DOUBLE) AS c1, CAST(gn.fg_n AS DOUBLE) AS r1,
+        CAST((SELECT n FROM nd) AS DOUBLE) AS nn
+      FROM fg JOIN bg USING (term) JOIN gn USING (source)),
+s AS (SELECT *, (k11 * nn) / (r1 * c1) AS score FROM j WHERE k11 * nn > c1 * r1),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(score, 9) DESC, term) AS rank FROM s)
+SELECT source, term, fg_count, bg_count, round(score, 6) AS score, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= {C.GROUP_TOP}"""
 SQL["stopword_filter"] = (f"WITH {src()},\n{keyterms()}\nSELECT doc_id, term FROM dt WHERE term NOT IN ({STOP})")
 SQL["min_bg_filter"] = f"WITH {src()},\n{keyterms()}\nSELECT term, bg_count FROM bg WHERE bg_count >= {C.MIN_BG_FILTER}"
 
