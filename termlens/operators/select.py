@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import skew as SK
 from . import stats as ST
 from . import tokens as TK
 
@@ -83,7 +84,10 @@ def keyterms(docs: DataFrame, eligible: DataFrame | None = None, text_col: str =
         cand = TK.term_frequencies(target, text_col, id_col, analyzer)
     else:
         cand = TK.doc_terms(target, text_col, id_col, analyzer)
-    cand = cand.join(bg, "term")
+    # The background is an aggregate, which AQE's skew-join splitting cannot handle, so
+    # terms held by very many documents are salted (operators/skew.py).
+    total = bg.select(F.sum("bg_count")).scalar()
+    cand = SK.salted_join(cand, bg, ["term"], "bg_count", total, id_col)
     if filter_before_topk:
         cand = min_bg_filter(stopword_filter(cand, stopwords), min_bg_count)
         return rank_terms(cand, n, k, rule, id_col)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import skew as SK
 from . import tokens as TK
 
 
@@ -88,8 +89,10 @@ def drop_duplicate_passages(tokens: DataFrame, group_col: str, shingle: int = 6,
                         F.lead("term", shingle - 1).over(w).isNotNull().alias("_full"))
           .where("_full").drop("_full"))
     owner = (sh.groupBy(group_col, "shingle")
-             .agg(F.min(F.struct(id_col, "position")).alias("_o")))
-    dup = (sh.join(owner, [group_col, "shingle"])
+             .agg(F.min(F.struct(id_col, "position")).alias("_o"), F.count(F.lit(1)).alias("_n")))
+    # a passage repeated in a third of all documents is a hot key: salted join
+    total = owner.select(F.sum("_n")).scalar()
+    dup = (SK.salted_join(sh, owner, [group_col, "shingle"], "_n", total, id_col)
            .where((F.col(id_col) != F.col("_o")[id_col]) | (F.col("position") != F.col("_o.position")))
            .select(group_col, id_col, "position"))
     keep = (sh.join(dup, [group_col, id_col, "position"], "left_anti")
