@@ -89,7 +89,15 @@ def keyterms(docs: DataFrame, eligible: DataFrame | None = None, text_col: str =
     total = bg.select(F.sum("bg_count")).scalar()
     cand = SK.salted_join(cand, bg, ["term"], "bg_count", total, id_col)
     if filter_before_topk:
-        cand = min_bg_filter(stopword_filter(cand, stopwords), min_bg_count)
+        if isinstance(stopwords, DataFrame):
+            # every candidate pair meets the stop words here, and stop words are the
+            # hottest terms: salt the anti join by the words' background counts
+            sw = (stopwords.select(F.col(stopwords.columns[0]).alias("term")).distinct()
+                  .join(bg, "term"))
+            cand = SK.salted_join(cand, sw, ["term"], "bg_count", total, id_col, how="left_anti")
+        else:
+            cand = stopword_filter(cand, stopwords)
+        cand = min_bg_filter(cand, min_bg_count)
         return rank_terms(cand, n, k, rule, id_col)
     ranked = rank_terms(cand, n, k, rule, id_col)
     return min_bg_filter(stopword_filter(ranked, stopwords), min_bg_count)

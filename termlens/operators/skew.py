@@ -58,7 +58,7 @@ def salted_join(big: DataFrame, agg: DataFrame, keys: list[str], count_col: str,
     ``total`` is the sum of ``count_col`` over ``agg`` (a scalar column);
     ``spread_col`` is a column of ``big`` that varies within a hot key (the document
     id).  The broadcast list of hot keys is bounded by ``denominator`` rows."""
-    if how == "inner" and planned_broadcast(agg):
+    if how in ("inner", "left_anti", "left_semi") and planned_broadcast(agg):
         return big.join(agg, keys, how)
     hot = F.broadcast(hot_keys(agg, keys, count_col, total, denominator))
     b = big.join(hot, keys, "left").withColumn(

@@ -68,3 +68,18 @@ def test_salted_join_equals_plain_join(spark):
     plain = big.join(agg, "key")
     assert sorted(map(tuple, salted.select("id", "key", "n").collect())) == \
         sorted(map(tuple, plain.select("id", "key", "n").collect()))
+
+
+def test_stopword_dataframe_before_topk_salted(spark):
+    rows, docs = _fixture(spark)
+    sw = spark.createDataFrame([("the",), ("w1",)], "word string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cfg = E.ExtractConfig(max_doc_keyterms=K, filter_before_topk=True)
+        got = sorted(map(tuple, E.keyterms(docs, cfg.with_(keyword_stopwords=sw))
+                         .select("doc_id", "term", "rank").collect()))
+        want = sorted(map(tuple, E.keyterms(docs, cfg.with_(keyword_stopwords=["the", "w1"]))
+                          .select("doc_id", "term", "rank").collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == want and not any(t in ("the", "w1") for _, t, _ in got)
