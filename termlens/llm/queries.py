@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import chat, sharding, urlfilter
+from termlens.llm import chat, quality, sharding, simhash, urlfilter
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -36,6 +36,17 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "margin")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     narrow = _table(spark, sf_dir, "documents").select(
@@ -48,5 +59,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op5_url_filter": op5_url_filter,
+    "op7_simhash": op7_simhash,
+    "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
 }
