@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import chat, quality, sharding, simhash, urlfilter
+from termlens.llm import bpe, chat, packing, quality, sharding, simhash, urlfilter
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -32,6 +33,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars", "n_targets")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    back = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *rules), *rules)
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -56,10 +63,16 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
+    "op10_packing": op10_packing,
 }
