@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import bpe, chat, packing, quality, sharding, simhash, urlfilter
+from termlens.llm import bpe, chat, packing, quality, repeats, sharding, simhash, urlfilter
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -33,6 +33,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars", "n_targets")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_length=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     back = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), *rules), *rules)
@@ -69,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
     "op7_simhash": op7_simhash,
