@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import bpe, chat, packing, quality, repeats, sharding, simhash, urlfilter
+from termlens.llm import bpe, chat, langid, packing, quality, repeats, sharding, simhash, urlfilter
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -24,6 +24,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    apart = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs, langid.train(docs.filter(~apart)))
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_probe(_table(spark, sf_dir, "conversations"), spark)
     got = chat.read_back(chat.expand_prefixes(turns))
@@ -73,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
