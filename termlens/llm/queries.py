@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import bpe, chat, langid, packing, quality, repeats, sharding, simhash, urlfilter
+from termlens.llm import bpe, chat, langid, packing, quality, repeats, sharding, simhash, topk, urlfilter
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -55,6 +55,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_url_filter": op5_url_filter,
+    "op6_exact_topk": op6_exact_topk,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
