@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_BYTES = 4 << 20
@@ -29,6 +30,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(path)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that driver and executors share, for tables a job writes and reads again."""
+    ensure_checkpoint_dir(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """A reliable copy of ``df`` in the shared folder: computed once, lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -43,25 +50,13 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        sizes = np.array([0 if x is None else x for x in _lengths(col)], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
 
 
-def _lengths(col: pa.Array) -> list:
-    import pyarrow.compute as pc
-
-    return pc.binary_length(col).to_pylist()
-
-
-def by_rows(batches: Iterator[pa.RecordBatch], schema: pa.Schema, rows) -> Iterator[pa.RecordBatch]:
-    """Apply ``rows(block) -> dict of columns`` to every block."""
-    for block in blocks(batches):
-        yield pa.RecordBatch.from_pydict(rows(block), schema=schema)
-
-
 def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenated ranges ``starts[i] .. starts[i] + counts[i] - 1``."""
     total = int(counts.sum())

@@ -259,7 +259,7 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, docs.columns[at], BLOCK):
+        for block in blocks(batches, text_col, BLOCK):
             lang, score, _ = shared.value.predict(_texts(block.column(at)))
             yield block.filter(pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)]))
 

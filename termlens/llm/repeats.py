@@ -240,15 +240,34 @@ def hot_anchors(docs: DataFrame, text_col: str, min_length: int, anchor: int) ->
 
 def remove_repeats(docs: DataFrame, min_length: int = MIN_LENGTH, anchor: int = ANCHOR, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (the remaining
-    bytes).  Columns of ``docs`` named like these four are replaced."""
+    """``docs`` without its text, with n_bytes, n_removed, n_spans (maximal removed runs) and kept
+    (the remaining bytes).  Columns of ``docs`` named like these four are replaced."""
+    return _removed(docs, min_length, anchor, id_col, text_col, False).drop("__null")
+
+
+def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH, anchor: int = ANCHOR, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``docs`` with its columns, the text rid of later copies.  A character of which a byte is
+    removed goes as a whole; a null text stays null."""
+    found = _removed(docs, min_length, anchor, id_col, text_col, True)
+    return found.withColumn(text_col, F.when(~F.col("__null"), F.col("kept"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` widened to all bytes of the UTF-8 characters it touches."""
+    char = np.cumsum((data & 0xC0) != 0x80) - 1
+    return np.bincount(char, weights=gone)[char] > 0
+
+
+def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_col: str, as_text: bool) -> DataFrame:
     hot = hot_anchors(docs, text_col, min_length, anchor)
     text = F.coalesce(F.encode(F.col(text_col).cast("string"), "UTF-8"), F.lit(b""))
-    source = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
-    names = source.columns
-    rows = source.select(
+    made = {"n_bytes", "n_removed", "n_spans", "kept", "__null"} - ({id_col} if not as_text else set())
+    names = [c for c in docs.columns if c != text_col and (as_text or c not in made)]
+    rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NONE_ID)).alias("__id"), text.alias("__bytes"),
-        F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("__rest"))
+        F.struct(*[F.col(f"`{c}`") for c in names], F.col(text_col).isNull().alias("__null")).alias("__rest"))
     # the places of rows that repeat an id follow one another, with a gap no string crosses
     ahead = Window.partitionBy("__id").orderBy("__bytes").rowsBetween(Window.unboundedPreceding, -1)
     keyed = rows.withColumn("__base", F.coalesce(F.sum(F.length("__bytes") + 1).over(ahead), F.lit(0)).cast("long"))
@@ -355,6 +374,7 @@ def remove_repeats(docs: DataFrame, min_length: int = MIN_LENGTH, anchor: int =
         for batch in batches:
             removed, spans, kept, sizes = [], [], [], []
             for data, base, runs_ in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4))):
+                sizes.append(len(data))
                 marks = np.zeros(len(data) + 1, np.int64)
                 for r in runs_ or ():
                     at = r["lo"] - base
@@ -364,17 +384,20 @@ def remove_repeats(docs: DataFrame, min_length: int = MIN_LENGTH, anchor: int =
                 gone = np.cumsum(marks)[:-1] > 0
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                kept.append(np.frombuffer(data, dtype=np.uint8)[~gone].tobytes() if removed[-1] else data)
-                sizes.append(len(data))
+                if removed[-1]:
+                    raw = np.frombuffer(data, dtype=np.uint8)
+                    data = raw[~(_whole_characters(raw, gone) if as_text else gone)].tobytes()
+                kept.append(data.decode("utf-8") if as_text else data)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
-                 pa.array(kept, pa.binary())], names=["rest", "n_bytes", "n_removed", "n_spans", "kept"])
+                 pa.array(kept, pa.string() if as_text else pa.binary())], names=["rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
     schema = T.StructType([T.StructField("rest", keyed.schema["__rest"].dataType)] + [
         T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [
-        T.StructField("kept", T.BinaryType())])
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     return (keyed.join(cover, "__id", "left").select("__id", "__bytes", "__rest", "__base", "__runs")
-            .mapInArrow(drop, schema).select("rest.*", "n_bytes", "n_removed", "n_spans", "kept"))
+            .mapInArrow(drop, schema).select(*(["rest.*"] if as_text else ["rest.*", "n_bytes", "n_removed", "n_spans"]),
+                                             "kept"))
 
 
 def _rest(table: pa.Table) -> tuple[list[pa.RecordBatch], int]:
