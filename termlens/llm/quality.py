@@ -145,7 +145,7 @@ class Forest:
                     nodes[at][3] = depth + float(_expected(len(part)))
                     continue
                 f = int(rng.choice(wide))
-                cut = float(rng.uniform(low[f], high[f]))
+                cut = min(float(rng.uniform(low[f], high[f])), float(np.nextafter(high[f], low[f])))
                 below = part[:, f] <= cut
                 nodes[at][:3] = [f, cut, len(nodes)]
                 todo += [(len(nodes), part[below], depth + 1), (len(nodes) + 1, part[~below], depth + 1)]
