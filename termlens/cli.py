@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from .operators.tokens import ANALYZERS
 from .plans.extract import ExtractConfig, extract
 from .session import build_session
 from .sinks.updates import write_merged
@@ -41,6 +42,11 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--min-bg-count", type=int, default=1)
     p.add_argument("--stopwords", default="en", help="'en' or 'none'")
     p.add_argument("--rule", choices=("rarest", "tfidf"), default="rarest")
+    p.add_argument("--analyzer", choices=ANALYZERS, default=None, help="default: lower, or english with --use-termvectors")
+    p.add_argument("--filter-before-topk", action="store_true")
+    p.add_argument("--shard-size", type=int, default=100,
+                   help="cap on a sampled foreground; no effect here, where a document is its own foreground")
+    p.add_argument("--scan-partitions", type=int, default=None, help="deal the input into this many partitions")
     p.add_argument("--max-fragments", type=int, default=8)
     p.add_argument("--fragment-size", type=int, default=100)
     p.add_argument("--master", default=None, help="only for local runs; on a cluster use spark-submit")
@@ -55,7 +61,7 @@ def config(a: argparse.Namespace) -> ExtractConfig:
         must_have_fields=tuple(a.must_have_fields), must_not_have_fields=tuple(a.must_not_have_fields),
         extract_contexts=a.extract_contexts, max_fragments=a.max_fragments, fragment_size=a.fragment_size,
         termvectors_window_size=a.termvectors_window_size, context_order=a.context_order, rule=a.rule,
-        keywords_field=a.keywords_field_name, offsets_field=a.offsets_field_name,
+        analyzer=a.analyzer, filter_before_topk=a.filter_before_topk, shard_size=a.shard_size, keywords_field=a.keywords_field_name, offsets_field=a.offsets_field_name,
         contexts_field=a.contexts_field_name)
 
 
@@ -67,7 +73,7 @@ def main(argv=None) -> dict:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName("termlens").getOrCreate()
     cfg = config(a)
-    docs = read_documents(spark, a.input, a.format, key=a.id_field)
+    docs = read_documents(spark, a.input, a.format, key=a.id_field, partitions=a.scan_partitions)
     res = extract(docs, cfg)
     if a.mode == "results":
         res.write.mode("errorifexists").parquet(a.output)

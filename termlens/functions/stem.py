@@ -34,8 +34,12 @@ class _Word:
         ch = self.b[i]
         if ch in "aeiou":
             return False
-        if ch == "y":
-            return True if i == 0 else not self.cons(i - 1)
+        if ch == "y":  # a consonant at the start or after a vowel; runs of y alternate
+            first = i
+            while first and self.b[first - 1] == "y":
+                first -= 1
+            at_first = first == 0 or self.b[first - 1] in "aeiou"
+            return at_first if (i - first) % 2 == 0 else not at_first
         return True
 
     def m(self) -> int:
@@ -257,8 +261,3 @@ def stem_words(words) -> Column:
     """Porter stems of an array<string> of lower-case words, element by element."""
     return _stem_arrays(F.col(words) if isinstance(words, str) else words)
 
-
-def stem_map(words) -> Column:
-    """map<word, stem> for an array of distinct lower-case words."""
-    w = F.col(words) if isinstance(words, str) else words
-    return F.map_from_arrays(w, stem_words(w))

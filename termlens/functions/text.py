@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 # Token pattern: runs of letters, digits and underscore, joined by a single apostrophe
 # (straight or curly) or full stop when a word character follows.  "He'll" stays whole,
 # "U.S." gives "U.S", "Ky." gives "Ky", "22-year-old" gives "22", "year", "old".
-TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
+# Possessive quantifiers: Java's matcher recurses once per repeat of a group that may give
+# back, and a token of a few thousand dotted parts would overflow the executor's stack.
+TOKEN_PATTERN = r"[\p{L}\p{N}_]++(?:['’.][\p{L}\p{N}_]++)*+"
+# The same tokens in the form the SQL twins need (no possessive quantifiers there).
+SQL_TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 # A single word character, used to grow fragment windows to whole words.
 WORD_CHAR = r"[\p{L}\p{N}_]"
 # Marks put round hits by the highlighter.

@@ -6,15 +6,17 @@ because the aggregate sits between the join and its shuffle.  A key held by a th
 all rows would then land in one task.  So hot keys are salted explicitly:
 
 * a key is hot when its count is at least ``total / HOT_DENOMINATOR``; the counts of hot
-  keys sum to at most ``total``, so there are at most ``HOT_DENOMINATOR`` of them, and
-  that list is the only thing broadcast (a proven bound, whatever the data size);
-* big-side rows of hot keys get ``salt = pmod(xxhash64(spread_col), SALT_BUCKETS)``;
+  keys sum to at most ``total``, so there are at most ``HOT_DENOMINATOR`` of them;
+* a hot key gets ``ceil(count * TARGET_TASKS / total)`` salts, its share of the tasks the
+  join is meant to run in, so no task holds much more than ``total / TARGET_TASKS`` rows;
+* the list of hot keys that is broadcast holds two 64-bit hashes and the salt count per
+  key, 20 bytes a row whatever the keys are: at most ``HOT_DENOMINATOR`` rows of them
+  (two keys that share both hashes would share a salt count, on both sides alike);
+* big-side rows of hot keys get ``salt = pmod(xxhash64(spread_col), salts)``;
 * aggregate-side rows of hot keys are copied once per salt value;
 * the join runs on ``(key, salt)``.  Cold keys keep salt 0 and are not copied.
 
-When Spark's own planner would broadcast the aggregate (its estimated size is within
-``spark.sql.autoBroadcastJoinThreshold``), the join has no shuffle and so no skew, and
-the plain join is kept: salting only replaces shuffle joins.
+Whether a side is broadcast is left to Spark and AQE.
 """
 
 from __future__ import annotations
@@ -24,45 +26,38 @@ from pyspark.sql import functions as F
 
 # --- fixed values: skew handling ------------------------------------------------------
 HOT_DENOMINATOR = 10_000   # hot: count >= total / this  =>  at most this many hot keys
-SALT_BUCKETS = 64          # tasks a hot key is spread over
+TARGET_TASKS = 10_000      # tasks the rows of a join should spread over evenly
 # ---------------------------------------------------------------------------------------
 
+_HASHES = ("_h1", "_h2")
 
-def hot_keys(agg: DataFrame, keys: list[str], count_col: str, total: Column,
-             denominator: int = HOT_DENOMINATOR) -> DataFrame:
-    """Keys whose count is at least ``total / denominator`` (at most ``denominator``
-    rows, since their counts sum to at most ``total``)."""
-    return (agg.where(F.col(count_col) * F.lit(denominator) >= total)
-            .select(*keys, F.lit(True).alias("_hot")))
+
+def _hashed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumn("_h1", F.xxhash64(*keys)).withColumn("_h2", F.xxhash64(F.lit("salt"), *keys))
 
 
-def planned_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's planner would broadcast ``df`` as a join side: the optimizer's
-    size estimate is within ``spark.sql.autoBroadcastJoinThreshold`` (the same test
-    Spark applies; nothing is broadcast here)."""
-    try:
-        conf = df.sparkSession._jsparkSession.sessionState().conf()
-        limit = int(conf.autoBroadcastJoinThreshold())
-        if limit < 0:
-            return False
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
-    except Exception:  # no statistics available: assume a shuffle join
-        return False
+def hot_keys(agg: DataFrame, keys: list[str], count_col: str, total: Column,
+             denominator: int = HOT_DENOMINATOR, target_tasks: int = TARGET_TASKS) -> DataFrame:
+    """``(_h1, _h2, _salts)`` of the keys whose count is at least ``total / denominator``
+    (at most ``denominator`` rows, since their counts sum to at most ``total``)."""
+    hot = agg.where(F.col(count_col) * F.lit(denominator) >= total)
+    salts = F.ceil(F.col(count_col) * F.lit(target_tasks) / total).cast("int")
+    return _hashed(hot, keys).groupBy(*_HASHES).agg(F.max(salts).alias("_salts"))
 
 
 def salted_join(big: DataFrame, agg: DataFrame, keys: list[str], count_col: str, total: Column,
-                spread_col: str, how: str = "inner", buckets: int = SALT_BUCKETS,
-                denominator: int = HOT_DENOMINATOR) -> DataFrame:
-    """``big.join(agg, keys, how)`` with hot keys spread over ``buckets`` tasks.
+                spread_col: str, how: str = "inner", denominator: int = HOT_DENOMINATOR,
+                target_tasks: int = TARGET_TASKS) -> DataFrame:
+    """``big.join(agg, keys, how)`` with every hot key spread over its share of tasks.
 
     ``total`` is the sum of ``count_col`` over ``agg`` (a scalar column);
     ``spread_col`` is a column of ``big`` that varies within a hot key (the document
     id).  The broadcast list of hot keys is bounded by ``denominator`` rows."""
-    if how in ("inner", "left_anti", "left_semi") and planned_broadcast(agg):
-        return big.join(agg, keys, how)
-    hot = F.broadcast(hot_keys(agg, keys, count_col, total, denominator))
-    b = big.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_col), F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
-    a = agg.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-    return b.drop("_hot").join(a.drop("_hot"), keys + ["_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(agg, keys, count_col, total, denominator, target_tasks))
+    salts = F.coalesce("_salts", F.lit(1))
+    b = _hashed(big, keys).join(hot, list(_HASHES), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(spread_col), salts).cast("int"))
+    a = _hashed(agg, keys).join(hot, list(_HASHES), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    extra = [*_HASHES, "_salts"]
+    return b.drop(*extra).join(a.drop(*extra), keys + ["_salt"], how).drop("_salt")

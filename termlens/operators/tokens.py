@@ -42,9 +42,11 @@ def analyze_array(tokens: Column, analyzer: str = "lower") -> Column:
 PYTHON_ANALYZERS = ("english",)
 
 
-def distinct_terms_array(text: Column, analyzer: str = "lower") -> Column:
-    """Distinct terms of one text.  For the stemmer, words are de-duplicated before the
-    Python call, so Python sees each document's vocabulary once."""
+def distinct_terms_array(text: Column, analyzer: str = "lower", terms_col: str | None = None) -> Column:
+    """Distinct terms of one text, or of its precomputed terms.  For the stemmer, words are
+    de-duplicated before the Python call, so Python sees each document's vocabulary once."""
+    if terms_col:
+        return F.array_distinct(terms_col)
     toks = X.token_array(text)
     if analyzer == "english":
         return F.array_distinct(S.stem_words(F.array_distinct(X.lower_terms(toks))))
@@ -108,19 +110,20 @@ def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
 
 
 def doc_terms(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-              analyzer: str = "lower") -> DataFrame:
+              analyzer: str = "lower", terms_col: str | None = None) -> DataFrame:
     """Distinct ``(id, term)`` pairs.  No offsets are needed, so no window and no
     shuffle: the explode runs inside the scan's stage."""
     return (docs.where(F.col(text_col).isNotNull())
-            .select(id_col, F.explode(distinct_terms_array(F.col(text_col), analyzer)).alias("term")))
+            .select(id_col, F.explode(distinct_terms_array(F.col(text_col), analyzer, terms_col)).alias("term")))
 
 
 def term_frequencies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                     analyzer: str = "lower") -> DataFrame:
+                     analyzer: str = "lower", terms_col: str | None = None) -> DataFrame:
     """``(id, term, tf)``.  Partial aggregation collapses repeats inside each scan task,
     so the shuffle carries one row per distinct pair."""
     return (docs.where(F.col(text_col).isNotNull())
-            .select(id_col, F.explode(analyze_array(X.token_array(text_col), analyzer)).alias("term"))
+            .select(id_col, F.explode(F.col(terms_col) if terms_col else analyze_array(X.token_array(text_col), analyzer))
+                    .alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

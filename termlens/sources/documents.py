@@ -15,30 +15,15 @@ from pyspark.sql import types as T
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet", key: str | None = "doc_id",
-                   **options) -> DataFrame:
-    """Any Spark source: parquet (default), orc, json, csv, a table name (``fmt='table'``),
-    spread over the cluster when it arrives in too few splits (see ``spread``)."""
+                   partitions: int | None = None, **options) -> DataFrame:
+    """Any Spark source: parquet (default), orc, json, csv, a table name (``fmt='table'``).
+    The scan keeps the source's splits unless the caller asks for ``partitions``: then the
+    rows are hash-partitioned on ``key`` into that many (for a file whose single row group
+    one task would read)."""
     df = spark.table(path) if fmt == "table" else spark.read.format(fmt).options(**options).load(path)
-    return spread(df, key)
-
-
-def spread(df: DataFrame, key: str | None = "doc_id") -> DataFrame:
-    """Hash-partition a scan on ``key`` when it yields fewer partitions than the cluster
-    has cores (a small file written as a single row group is read by one task).
-
-    A large input already has many splits and is returned untouched, so at scale this
-    adds no shuffle.  The partition count is ``spark.sql.shuffle.partitions``, the same
-    as every later exchange on ``key``, so the joins and windows keyed on the document
-    id reuse this partitioning instead of shuffling the text again.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if partitions is None:
         return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if key and key in df.columns:
-        return df.repartition(n, key)
-    return df.repartition(max(n, cores))
+    return df.repartition(partitions, key) if key and key in df.columns else df.repartition(partitions)
 
 
 def _dedupe(fields: Iterable[str]) -> list[str]:
