@@ -28,13 +28,16 @@ RULES = ("rarest", "tfidf")
 
 def stopword_filter(df: DataFrame, stopwords, term_col: str = "term") -> DataFrame:
     """P3.  A list is a literal ``NOT IN`` (bounded: it is a parameter, not data); a
-    DataFrame of stop words is a ``left_anti`` join whose strategy Spark picks from the
-    measured size (a broadcast when the list is small, a shuffle join otherwise)."""
+    DataFrame of stop words is a ``left_anti`` join salted by how often ``df`` holds each
+    stop word, since stop words are the hottest terms."""
     if stopwords is None:
         return df
     if isinstance(stopwords, DataFrame):
         sw = stopwords.select(F.col(stopwords.columns[0]).alias(term_col)).distinct()
-        return df.join(sw, term_col, "left_anti")
+        counts = df.groupBy(term_col).agg(F.count(F.lit(1)).alias("_n"))
+        total = counts.select(F.sum("_n")).scalar()
+        spread = next(c for c in df.columns if c != term_col) if len(df.columns) > 1 else term_col
+        return SK.salted_join(df, counts.join(sw, term_col, "left_semi"), [term_col], "_n", total, spread, how="left_anti")
     words = sorted(set(stopwords))
     if not words:
         return df
@@ -68,36 +71,48 @@ def rank_terms(cand: DataFrame, n_docs: Column, k: int = 16, rule: str = "rarest
 def keyterms(docs: DataFrame, eligible: DataFrame | None = None, text_col: str = "text",
              id_col: str = "doc_id", analyzer: str = "lower", k: int = 16, rule: str = "rarest",
              stopwords=None, min_bg_count: int = 1, filter_before_topk: bool = False,
-             background: DataFrame | None = None, n_docs: Column | None = None) -> DataFrame:
+             background: DataFrame | None = None, n_docs: Column | None = None,
+             terms_col: str | None = None) -> DataFrame:
     """A4: ``(id, term, bg_count, score, rank)``, the keyterms of each eligible document.
 
     ``docs`` is the background collection (all documents), ``eligible`` the documents
     to extract for (default: all).  ``background``/``n_docs`` may be passed in to reuse
-    a stored background (incremental and streaming runs).
+    a stored background (incremental and streaming runs): it is cut down to the terms of the
+    documents at hand, and a term it has never seen counts with the documents at hand that
+    hold it, so the newest terms rank as the rare ones they are.  ``terms_col`` names a
+    precomputed array of terms.
     """
+    target = eligible if eligible is not None else docs
     if background is None:
-        bg, n = ST.background_and_size(docs, text_col, id_col, analyzer)
+        bg, n = ST.background_and_size(docs, text_col, id_col, analyzer, terms_col)
+        held = "bg_count"
     else:
-        bg, n = background, n_docs if n_docs is not None else ST.corpus_size(docs, text_col)
-    target = eligible if eligible is not None else docs
+        n = n_docs if n_docs is not None else ST.corpus_size(docs, text_col)
+        fresh = ST.background(target, text_col, id_col, analyzer, terms_col).withColumnRenamed("bg_count", "_held")
+        bg = fresh.join(background, "term", "left").withColumn("_unseen", F.col("bg_count").isNull()).withColumn(
+            "bg_count", F.coalesce("bg_count", "_held"))
+        held = "_held"
     if rule == "tfidf":
-        cand = TK.term_frequencies(target, text_col, id_col, analyzer)
+        cand = TK.term_frequencies(target, text_col, id_col, analyzer, terms_col)
     else:
-        cand = TK.doc_terms(target, text_col, id_col, analyzer)
+        cand = TK.doc_terms(target, text_col, id_col, analyzer, terms_col)
     # The background is an aggregate, which AQE's skew-join splitting cannot handle, so
     # terms held by very many documents are salted (operators/skew.py).
-    total = bg.select(F.sum("bg_count")).scalar()
-    cand = SK.salted_join(cand, bg, ["term"], "bg_count", total, id_col)
+    total = bg.select(F.sum(held)).scalar()
+    cand = SK.salted_join(cand, bg, ["term"], held, total, id_col)
+    if background is not None:
+        # what the stored collection never held is not a term every document holds
+        n = F.when(F.col("_unseen"), F.greatest(n, F.col("bg_count") + 1)).otherwise(n)
     if filter_before_topk:
         if isinstance(stopwords, DataFrame):
             # every candidate pair meets the stop words here, and stop words are the
             # hottest terms: salt the anti join by the words' background counts
             sw = (stopwords.select(F.col(stopwords.columns[0]).alias("term")).distinct()
                   .join(bg, "term"))
-            cand = SK.salted_join(cand, sw, ["term"], "bg_count", total, id_col, how="left_anti")
+            cand = SK.salted_join(cand, sw, ["term"], held, total, id_col, how="left_anti")
         else:
             cand = stopword_filter(cand, stopwords)
         cand = min_bg_filter(cand, min_bg_count)
-        return rank_terms(cand, n, k, rule, id_col)
-    ranked = rank_terms(cand, n, k, rule, id_col)
+        return rank_terms(cand, n, k, rule, id_col).drop("_held", "_unseen")
+    ranked = rank_terms(cand, n, k, rule, id_col).drop("_held", "_unseen")
     return min_bg_filter(stopword_filter(ranked, stopwords), min_bg_count)

@@ -15,15 +15,15 @@ from . import tokens as TK
 
 
 def background(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-               analyzer: str = "lower") -> DataFrame:
+               analyzer: str = "lower", terms_col: str | None = None) -> DataFrame:
     """A1: ``(term, bg_count)``, the number of documents holding each term, over the
     whole collection (no eligibility filter)."""
-    return (TK.doc_terms(docs, text_col, id_col, analyzer)
+    return (TK.doc_terms(docs, text_col, id_col, analyzer, terms_col)
             .groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("bg_count")))
 
 
 def background_and_size(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                        analyzer: str = "lower"):
+                        analyzer: str = "lower", terms_col: str | None = None):
     """A1 and A2 from one aggregate: each document adds an empty-string marker to its
     distinct terms (no token is empty), so the marker's count is the number of
     documents.  Returns ``(bg, n)``: ``bg`` keeps the marker row, which can never join
@@ -31,7 +31,7 @@ def background_and_size(docs: DataFrame, text_col: str = "text", id_col: str = "
     filter on the grouping key, so its exchange is identical to the background's and
     Spark reuses it instead of scanning the text again to count documents."""
     marked = (docs.where(F.col(text_col).isNotNull())
-              .select(F.explode(F.concat(TK.distinct_terms_array(F.col(text_col), analyzer),
+              .select(F.explode(F.concat(TK.distinct_terms_array(F.col(text_col), analyzer, terms_col),
                                          F.array(F.lit("")))).alias("term")))
     counts = marked.groupBy("term").agg(F.count(F.lit(1)).cast("bigint").alias("bg_count"))
     n = (counts.where(F.col("term").isNotNull())
@@ -78,29 +78,32 @@ def drop_duplicate_passages(tokens: DataFrame, group_col: str, shingle: int = 6,
     holder of a passage (least ``(id, position)``) keeps it; later copies are dropped,
     token by token, unless another, unrepeated passage still covers the token.
 
-    The per-shingle owner is a ``min`` aggregate (partial aggregation, so a passage
-    repeated in a third of all documents is still one row per map task); the covered
-    positions are expanded with ``sequence`` and anti-joined, no pairwise comparison.
+    Passages travel as a 128-bit hash.  The owner of each is a ``min`` aggregate (partial,
+    so a passage repeated in a third of all documents is one row per map task), joined back
+    once, salted.  A window over the document's positions then decides: a token goes if a
+    passage starting on it or up to ``shingle - 1`` before it is a copy and none is kept.
     """
-    w = Window.partitionBy(id_col).orderBy("position")
-    terms = [F.lead("term", i).over(w) for i in range(1, shingle)]
-    sh = (tokens.select(group_col, id_col, "position",
-                        F.concat_ws("\u0001", F.col("term"), *terms).alias("shingle"),
-                        F.lead("term", shingle - 1).over(w).isNotNull().alias("_full"))
-          .where("_full").drop("_full"))
-    owner = (sh.groupBy(group_col, "shingle")
-             .agg(F.min(F.struct(id_col, "position")).alias("_o"), F.count(F.lit(1)).alias("_n")))
-    # a passage repeated in a third of all documents is a hot key: salted join
+    w = Window.partitionBy(group_col, id_col).orderBy("position")
+    ahead = [F.lead("term", i).over(w) for i in range(1, shingle)]
+    text = F.concat_ws("\u0001", F.col("term"), *ahead)
+    started = tokens.withColumn("_p", F.when(F.lead("term", shingle - 1).over(w).isNotNull(), F.struct(
+        F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))))
+    passages = started.where(F.col("_p").isNotNull()).select(
+        group_col, id_col, "position", F.col("_p.a").alias("_a"), F.col("_p.b").alias("_b"))
+    key = [group_col, "_a", "_b"]
+    owner = passages.groupBy(*key).agg(F.min(F.struct(id_col, "position")).alias("_o"), F.count(F.lit(1)).alias("_n"))
     total = owner.select(F.sum("_n")).scalar()
-    dup = (SK.salted_join(sh, owner, [group_col, "shingle"], "_n", total, id_col)
-           .where((F.col(id_col) != F.col("_o")[id_col]) | (F.col("position") != F.col("_o.position")))
-           .select(group_col, id_col, "position"))
-    keep = (sh.join(dup, [group_col, id_col, "position"], "left_anti")
-            .select(group_col, id_col, F.explode(F.sequence("position", F.col("position") + shingle - 1)).alias("position")))
-    covered = dup.select(group_col, id_col,
-                         F.explode(F.sequence("position", F.col("position") + shingle - 1)).alias("position"))
-    drop = covered.join(keep, [group_col, id_col, "position"], "left_anti").distinct()
-    return tokens.join(drop, [group_col, id_col, "position"], "left_anti")
+    # a token that starts no passage finds no owner; its own place is its key, so that such
+    # tokens do not meet in one task
+    keyed = (started.withColumn("_a", F.coalesce(F.col("_p.a"), F.xxhash64(F.lit(2), id_col, "position")))
+             .withColumn("_b", F.coalesce(F.col("_p.b"), F.xxhash64(F.lit(3), id_col, "position"))).drop("_p"))
+    joined = SK.salted_join(keyed, owner, key, "_n", total, id_col, how="left")
+    own = (F.col(id_col) == F.col("_o")[id_col]) & (F.col("position") == F.col("_o.position"))
+    before = w.rowsBetween(-(shingle - 1), 0)
+    copied = F.max(F.col("_o").isNotNull() & ~own).over(before)
+    kept = F.max(F.col("_o").isNotNull() & own).over(before)
+    return (joined.withColumn("_drop", F.coalesce(copied & ~kept, F.lit(False)))
+            .where(~F.col("_drop")).select(*tokens.columns))
 
 
 HEURISTICS = ("lift", "llr")
@@ -145,7 +148,13 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
         bg, n = background_and_size(docs, text_col, id_col, analyzer)
     n = n.cast("double")
     sizes = fdocs.groupBy(group_col).agg(F.count(F.lit(1)).cast("bigint").alias("fg_n"))
-    j = fg.join(bg, "term").join(sizes, group_col)
+    # a common term has a row per group, and a few groups may hold most rows: the term join is
+    # salted by the background counts, and the sizes (one row per group) ride on a salted
+    # join too, spread over the terms of a group
+    total = bg.select(F.sum("bg_count")).scalar()
+    j = SK.salted_join(fg, bg, ["term"], "bg_count", total, group_col)
+    per_group = fg.groupBy(group_col).agg(F.count(F.lit(1)).alias("_terms")).join(sizes, group_col)
+    j = SK.salted_join(j, per_group, [group_col], "_terms", per_group.select(F.sum("_terms")).scalar(), "term")
     fgc, bgc, fgn = (F.col(c).cast("double") for c in ("fg_count", "bg_count", "fg_n"))
     j = j.where(fgc * n > bgc * fgn)
     if heuristic == "lift":
@@ -161,4 +170,4 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     w = Window.partitionBy(group_col).orderBy(F.col("_rs").desc(), F.col("term"))
     return (j.withColumn("score", score).withColumn("_rs", F.round("score", 9))
             .withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("rank") <= size).drop("_rs"))
+            .where(F.col("rank") <= size).drop("_rs", "_terms"))

@@ -9,6 +9,7 @@ characters (at most 8), word windows of 3.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators import hits as H
 from ..operators import select as SEL
 from ..operators import stats as ST
 from ..operators import tokens as TK
+from ..session import ensure_checkpoint_dir
 from ..sinks import updates as U
 from ..sources import documents as SRC
 from . import extract as E
@@ -41,6 +43,7 @@ NULL_RESULT_MIN_BG = 2
 SHINGLE = 6
 GROUP_SHARD = 20
 UNKNOWN_ID_BASE = 1_000_000_000
+STREAM_FILES = 3
 # ---------------------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,9 +59,14 @@ def query(name: str):
 _KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
+#: The caller's choice of scan partitions (see ``read_documents``); unset: the source's splits.
+SCAN_PARTITIONS = "spark.termlens.scanPartitions"
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     if name in _KEYS:
-        return SRC.read_documents(spark, f"{sf}/{name}.parquet", key=_KEYS[name])
+        n = spark.conf.get(SCAN_PARTITIONS, None)
+        return SRC.read_documents(spark, f"{sf}/{name}.parquet", key=_KEYS[name], partitions=int(n) if n else None)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -186,8 +194,7 @@ def sampled_foreground(spark, sf):
 def drop_duplicate_passages(spark, sf):
     d = _docs(spark, sf)
     toks = TK.tokenize(d, analyzer="lower").join(d.select("doc_id", "lang"), "doc_id")
-    kept = ST.drop_duplicate_passages(toks, "lang", SHINGLE)
-    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_kept"))
+    return ST.drop_duplicate_passages(toks, "lang", SHINGLE).select("doc_id", "position", "term")
 
 
 @query("stopword_filter")
@@ -219,20 +226,22 @@ def keyterm_hits(spark, sf):
     return _hits(spark, sf).select("doc_id", "position", "surface", "term", "start", "end")
 
 
-def _offset_summary(hits, key):
+def _offset_rows(hits, key):
+    """One row per offset of the nested lists."""
     return H.offsets_by(hits, key).select(
-        "doc_id", key, F.size("offsets").cast("bigint").alias("n_occ"), "first_start",
-        F.element_at("offsets", -1)["end"].alias("last_end"))
+        "doc_id", key, "first_start", F.posexplode("offsets").alias("occ", "o")).select(
+        "doc_id", key, "first_start", F.col("occ").cast("bigint").alias("occ"),
+        F.col("o.start").alias("start"), F.col("o.end").alias("end"))
 
 
 @query("offsets_by_surface")
 def offsets_by_surface(spark, sf):
-    return _offset_summary(_hits(spark, sf), "surface")
+    return _offset_rows(_hits(spark, sf), "surface")
 
 
 @query("offsets_by_term")
 def offsets_by_term(spark, sf):
-    return _offset_summary(_hits(spark, sf), "term")
+    return _offset_rows(_hits(spark, sf), "term")
 
 
 def _marked(spark, sf):
@@ -351,8 +360,8 @@ def cross_field_hits(spark, sf):
 def results_with_text(spark, sf):
     d = _docs(spark, sf)
     flat = E.flatten_result(E.extract(d, RAW), RAW).where(F.col("keyword").isNotNull())
-    return flat.join(d.select("doc_id", "lang", "n_chars"), "doc_id", "left").select(
-        "doc_id", "keyword", "start", "end", "lang", "n_chars")
+    return flat.join(d.select("doc_id", "text", "lang", "n_chars"), "doc_id", "left").select(
+        "doc_id", "keyword", "start", "end", "text", "lang", "n_chars")
 
 
 def _labelled(spark, sf):
@@ -361,11 +370,22 @@ def _labelled(spark, sf):
 
 @query("incremental_extract")
 def incremental_extract(spark, sf):
-    # The previous run covered the labelled documents; this run fills in the rest.
-    docs = _labelled(spark, sf)
-    prev = E.extract(docs, RAW.with_(must_have_fields=("quality",)))
-    state = docs.join(prev, "doc_id", "left")
-    return E.flatten_result(E.incremental_extract(state, RAW), RAW)
+    # The previous run covered the labelled documents and stored its results; this run
+    # fills in the rest.
+    path = f"{ensure_checkpoint_dir(spark)}/termlens-previous-{uuid.uuid4().hex}"
+    E.extract(_labelled(spark, sf), RAW.with_(must_have_fields=("quality",))).write.parquet(path)
+    return E.flatten_result(E.incremental_extract(_docs(spark, sf), RAW, spark.read.parquet(path)), RAW)
+
+
+@query("extract_with_stored_background")
+def extract_with_stored_background(spark, sf):
+    """The background was stored when only the labelled documents were there; the terms that came
+    with the others are unseen by it."""
+    from ..streaming import stream as STR
+    path = f"{ensure_checkpoint_dir(spark)}/termlens-background-{uuid.uuid4().hex}"
+    known = _docs(spark, sf).join(_t(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    bg, n = STR.load_background(spark, STR.store_background(known, RAW, path))
+    return E.flatten_result(E.extract(_docs(spark, sf), RAW, background=bg, n_docs=n), RAW)
 
 
 # --- S, P: scans and predicates ---------------------------------------------------------------
@@ -412,16 +432,17 @@ def sentences_to_docs(spark, sf):
 
 def _updates(spark, sf):
     """Updates keyed by id: labelled documents get their sorted keyterms joined by a
-    space (toxic ones a null value, which must overwrite), and every benchmark item
-    gives an update for an id that no document has."""
+    space (toxic ones a null value, which must overwrite), and every benchmark item gives
+    its own keyterms, against the benchmark, for an id that no document has."""
     d = _labelled(spark, sf)
     kt = E.keyterms(_docs(spark, sf), RAW).groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_list("term")), " ").alias("kw"))
     lab = (d.where(F.col("quality").isNotNull()).select("doc_id", "toxic").join(kt, "doc_id", "left")
            .select("doc_id", F.when(F.col("toxic") == 0, F.col("kw")).alias("keywords")))
-    bench = _t(spark, sf, "benchmark").select(
-        (F.col("item_id") + UNKNOWN_ID_BASE).alias("doc_id"),
-        F.regexp_extract("text", r"^\S*", 0).alias("keywords"))
+    items = _t(spark, sf, "benchmark").select((F.col("item_id") + UNKNOWN_ID_BASE).alias("doc_id"), "text")
+    bench = items.where(F.col("text").isNotNull()).select("doc_id").join(
+        E.keyterms(items, RAW).groupBy("doc_id").agg(
+            F.array_join(F.sort_array(F.collect_list("term")), " ").alias("keywords")), "doc_id", "left")
     return lab.unionByName(bench)
 
 
@@ -444,6 +465,14 @@ def rejected_updates(spark, sf):
     return U.rejected_updates(_target(spark, sf), _updates(spark, sf))
 
 
+@query("merge_by_mode")
+def merge_by_mode(spark, sf):
+    """U4: the same updates under either sink behaviour."""
+    out = [U.merge(_target(spark, sf), _updates(spark, sf), mode, fields=["keywords"]).withColumn("mode", F.lit(mode))
+           for mode in U.MODES]
+    return out[0].unionByName(out[1])
+
+
 @query("update_counts")
 def update_counts(spark, sf):
     return U.update_counts(_target(spark, sf), _updates(spark, sf), mode="update", fields=["keywords"])
@@ -452,7 +481,7 @@ def update_counts(spark, sf):
 # --- V: audits (invariants: zero violations, something checked) ---------------------------------
 
 def _audit(df):
-    return df.select("check", "violations", (F.col("checked") > 0).alias("has_checked"))
+    return df.select("check", "violations", "checked")
 
 
 @query("audit_offsets")
@@ -490,6 +519,7 @@ def audit_scope(spark, sf):
 @query("stream_extract")
 def stream_extract(spark, sf):
     from ..streaming import stream as STR
-    background = spark.read.parquet(f"{sf}/documents.parquet")
-    res = STR.stream_extract(spark, sf, "documents.parquet", background, RAW)
-    return E.flatten_result(res, RAW)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    work = f"{ensure_checkpoint_dir(spark)}/termlens-stream-{uuid.uuid4().hex}"
+    docs.repartition(STREAM_FILES, "doc_id").write.parquet(f"{work}/source")  # a micro-batch per file
+    return E.flatten_result(STR.stream_extract(spark, f"{work}/source", None, docs, RAW, work), RAW)

@@ -16,6 +16,7 @@ are left to Spark's size threshold and AQE, which measures each join side at run
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,9 @@ from ..functions import text as X
 from ..operators import contexts as CX
 from ..operators import hits as H
 from ..operators import select as SEL
+from ..operators import stats as ST
 from ..operators import tokens as TK
+from ..session import ensure_checkpoint_dir
 from ..sources import documents as SRC
 
 
@@ -51,6 +54,7 @@ class ExtractConfig:
     context_order: str = "position"        # analysed mode: 'position' or 'vocabulary'
     rule: str = "rarest"
     filter_before_topk: bool = False
+    shard_size: int = 100                  # sampled foreground; a document alone is never cut by it
     keywords_field: str = "keywords"
     offsets_field: str = "offsets"
     contexts_field: str = "contexts"
@@ -87,10 +91,32 @@ def eligible(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
 def keyterms(docs: DataFrame, cfg: ExtractConfig, background: DataFrame | None = None,
              n_docs: Column | None = None) -> DataFrame:
     """A4 for the eligible documents against the whole collection."""
-    elig = eligible(docs, cfg).select(cfg.id_col, cfg.keyword_col)
+    docs = _staged(docs, cfg)
+    terms = STAGED if STAGED in docs.columns else None
+    elig = eligible(docs, cfg).select(cfg.id_col, cfg.keyword_col, *([terms] if terms else []))
     return SEL.keyterms(docs, elig, cfg.keyword_col, cfg.id_col, cfg.term_analyzer, cfg.max_doc_keyterms,
                         cfg.rule, SW.resolve(cfg.keyword_stopwords), cfg.min_bg_count, cfg.filter_before_topk,
-                        background, n_docs)
+                        background, n_docs, terms)
+
+
+STAGED = "_terms"
+
+
+def stage_terms(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    """With a Python analyser, the documents with their analysed terms as a table in the shared
+    checkpoint folder: every document is stemmed once, and the background, the candidates
+    and the hits all read that table."""
+    spark = docs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/termlens-terms-{uuid.uuid4().hex}"
+    terms = TK.analyze_array(X.token_array(cfg.keyword_col), cfg.term_analyzer)
+    docs.withColumn(STAGED, terms).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _staged(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    if cfg.term_analyzer in TK.PYTHON_ANALYZERS and cfg.highlight == cfg.keyword_col and STAGED not in docs.columns:
+        return stage_terms(docs, cfg)
+    return docs
 
 
 def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame:
@@ -103,7 +129,9 @@ def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame
     idc = cfg.id_col
     cols = [idc, F.col(cfg.highlight).alias("_hl")]
     pre = cfg.term_analyzer in TK.PYTHON_ANALYZERS
-    if pre:
+    if STAGED in docs.columns:
+        cols.append(STAGED)
+    elif pre:
         cols.append(TK.analyze_array(X.token_array(cfg.highlight), cfg.term_analyzer).alias("_terms"))
     base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
     hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
@@ -114,6 +142,7 @@ def per_document_hits(docs: DataFrame, cfg: ExtractConfig, background: DataFrame
                       n_docs: Column | None = None) -> DataFrame:
     """``(id, _hl, kt, hits)`` for every eligible document; ``hits`` is the sorted hit
     array (null when the document has no keyterm or no hit)."""
+    docs = _staged(docs, cfg)
     return _with_hits(docs, H.keyterm_sets(keyterms(docs, cfg, background, n_docs), cfg.id_col), cfg)
 
 
@@ -184,12 +213,22 @@ def extract(docs: DataFrame, cfg: ExtractConfig | None = None, background: DataF
     return _analyzed_result(per, cfg) if cfg.use_termvectors else _raw_result(per, cfg)
 
 
-def incremental_extract(docs: DataFrame, cfg: ExtractConfig | None = None, **overrides) -> DataFrame:
-    """Extract only for documents that have no keywords yet; the background is
-    still the whole collection."""
+def incremental_extract(docs: DataFrame, cfg: ExtractConfig | None = None, previous: DataFrame | None = None,
+                        **overrides) -> DataFrame:
+    """Extract only for documents that have no keywords yet; the background is still the
+    whole collection.  ``docs`` carries the keywords field itself, or ``previous`` is the table
+    of earlier results ``(id, keywords, ...)``: then only the ids and the null test are joined
+    to the documents to extract for, and the background reads the raw documents."""
     cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
-    cfg = cfg.with_(must_not_have_fields=tuple(cfg.must_not_have_fields) + (cfg.keywords_field,))
-    return extract(docs.drop(*[c for c in (cfg.offsets_field, cfg.contexts_field) if c in docs.columns]), cfg)
+    if previous is None:
+        cfg = cfg.with_(must_not_have_fields=tuple(cfg.must_not_have_fields) + (cfg.keywords_field,))
+        return extract(docs.drop(*[c for c in (cfg.offsets_field, cfg.contexts_field) if c in docs.columns]), cfg)
+    _check(cfg)
+    docs = _staged(docs, cfg)
+    terms = STAGED if STAGED in docs.columns else None
+    bg, n = ST.background_and_size(docs, cfg.keyword_col, cfg.id_col, cfg.term_analyzer, terms)
+    done = previous.where(F.col(cfg.keywords_field).isNotNull()).select(cfg.id_col)
+    return extract(docs.join(done, cfg.id_col, "left_anti"), cfg, background=bg, n_docs=n)
 
 
 def flatten_result(result: DataFrame, cfg: ExtractConfig | None = None) -> DataFrame:

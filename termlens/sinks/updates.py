@@ -3,6 +3,10 @@
 Parquet tables have no ``MERGE``, so a merge is a join written to a new location
 (never over the path being read).  A match flag, not ``coalesce``, decides which value
 wins: an update that carries a null keyword list writes null.
+
+A target row takes one update.  Where updates may repeat an id, name the column that orders
+them (``order_col``): the last one counts (ties: the greatest values).  Without an order,
+a repeated id is an error when the merge runs.
 """
 
 from __future__ import annotations
@@ -19,8 +23,27 @@ def _fields(updates: DataFrame, id_col: str, fields: Iterable[str] | None) -> li
     return list(fields) if fields else [c for c in updates.columns if c != id_col]
 
 
-def _merge(target: DataFrame, updates: DataFrame, id_col: str, fields, how: str) -> DataFrame:
-    fields = _fields(updates, id_col, fields)
+def check_mode(mode: str) -> str:
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
+    return mode
+
+
+def one_per_id(updates: DataFrame, id_col: str = "doc_id", order_col: str | None = None) -> DataFrame:
+    """One row per id, reduced before the shuffle: the last by ``order_col``; without an
+    order an id that repeats raises."""
+    rest = [c for c in updates.columns if c not in (id_col, order_col)]
+    row = F.struct(*([order_col] if order_col else []), *rest)
+    one = updates.groupBy(id_col).agg(F.max(row).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    if order_col is None:
+        text = F.concat(F.lit("more than one update for id "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+        one = one.withColumn("_r", F.when(F.col("_n") > 1, F.raise_error(text)).otherwise(F.col("_r")))
+    return one.select(*[F.col(id_col) if c == id_col else F.col(f"_r.{c}").alias(c) for c in updates.columns])
+
+
+def _merge(target: DataFrame, updates: DataFrame, id_col: str, fields, how: str, order_col: str | None) -> DataFrame:
+    fields = [f for f in _fields(updates, id_col, fields) if f != order_col]
+    updates = one_per_id(updates.select(id_col, *fields, *([order_col] if order_col else [])), id_col, order_col)
     u = updates.select(F.col(id_col).alias("_uid"), *[F.col(f).alias(f"_u_{f}") for f in fields],
                        F.lit(True).alias("_m"))
     t = target.withColumn("_t", F.lit(True))
@@ -40,17 +63,19 @@ def _merge(target: DataFrame, updates: DataFrame, id_col: str, fields, how: str)
 
 
 def apply_updates(target: DataFrame, updates: DataFrame, id_col: str = "doc_id",
-                  fields: Iterable[str] | None = None, with_status: bool = False) -> DataFrame:
+                  fields: Iterable[str] | None = None, with_status: bool = False,
+                  order_col: str | None = None) -> DataFrame:
     """Partial update; matched rows get the named fields replaced, other fields
     and unmatched rows stay as they are, no row is inserted."""
-    out = _merge(target, updates, id_col, fields, "left")
+    out = _merge(target, updates, id_col, fields, "left", order_col)
     return out if with_status else out.drop("_status")
 
 
 def upsert_updates(target: DataFrame, updates: DataFrame, id_col: str = "doc_id",
-                   fields: Iterable[str] | None = None, with_status: bool = False) -> DataFrame:
+                   fields: Iterable[str] | None = None, with_status: bool = False,
+                   order_col: str | None = None) -> DataFrame:
     """As U1, and updates with no target become new rows."""
-    out = _merge(target, updates, id_col, fields, "full_outer")
+    out = _merge(target, updates, id_col, fields, "full_outer", order_col)
     return out if with_status else out.drop("_status")
 
 
@@ -59,10 +84,17 @@ def rejected_updates(target: DataFrame, updates: DataFrame, id_col: str = "doc_i
     return updates.join(target.select(id_col), id_col, "left_anti")
 
 
+def merge(target: DataFrame, updates: DataFrame, mode: str = "update", id_col: str = "doc_id",
+          fields: Iterable[str] | None = None, with_status: bool = False, order_col: str | None = None) -> DataFrame:
+    """U4: choose the sink behaviour by name; an unknown mode is an error."""
+    chosen = upsert_updates if check_mode(mode) == "upsert" else apply_updates
+    return chosen(target, updates, id_col, fields, with_status, order_col)
+
+
 def update_counts(target: DataFrame, updates: DataFrame, id_col: str = "doc_id", mode: str = "update",
-                  fields: Iterable[str] | None = None) -> DataFrame:
+                  fields: Iterable[str] | None = None, order_col: str | None = None) -> DataFrame:
     """Rows per status (updated / unchanged / inserted / rejected)."""
-    merged = (upsert_updates if mode == "upsert" else apply_updates)(target, updates, id_col, fields, True)
+    merged = merge(target, updates, mode, id_col, fields, True, order_col)
     counts = merged.groupBy(F.col("_status").alias("status")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
     if mode == "update":
         rej = rejected_updates(target, updates, id_col).agg(F.lit("rejected").alias("status"),
@@ -71,22 +103,12 @@ def update_counts(target: DataFrame, updates: DataFrame, id_col: str = "doc_id",
     return counts
 
 
-def merge(target: DataFrame, updates: DataFrame, mode: str = "update", id_col: str = "doc_id",
-          fields: Iterable[str] | None = None) -> DataFrame:
-    """U4: choose the sink behaviour by name; an unknown mode is an error."""
-    if mode == "update":
-        return apply_updates(target, updates, id_col, fields)
-    if mode == "upsert":
-        return upsert_updates(target, updates, id_col, fields)
-    raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
-
-
 def write_merged(target: DataFrame, updates: DataFrame, path: str, mode: str = "update",
                  id_col: str = "doc_id", fields: Iterable[str] | None = None, fmt: str = "parquet",
-                 counts: bool = False):
+                 counts: bool = False, order_col: str | None = None):
     """Write the merged table to ``path`` (a new location).  With ``counts=True`` the
     per-status counts are observed during the same write (no second pass)."""
-    merged = (upsert_updates if mode == "upsert" else apply_updates)(target, updates, id_col, fields, True)
+    merged = merge(target, updates, mode, id_col, fields, True, order_col)
     from pyspark.sql import Observation
     obs = Observation("merge_counts")
     merged = merged.observe(obs, *[F.sum(F.when(F.col("_status") == s, 1).otherwise(0)).alias(s)
