@@ -17,7 +17,8 @@ def spark():
     s.stop()
 
 
-# README worked sample 1 (text with the closing quote restored as two single quotes).
+# --- fixed values: worked sample 1 (closing quote restored as two single quotes), whose
+# keywords, offsets and contexts an extraction must reproduce ---------------------------
 SAMPLE1_TEXT = (
     "Pitcher Steve Barber joined the club one week ago after completing his hitch under the Army's accelerated "
     "wintertime military course , also at Fort Knox , Ky. .The 22-year-old southpaw enlisted earlier last fall "

@@ -42,22 +42,46 @@ def _check_salted(spark):
     rows, docs = _fixture(spark)
     bg, _ = ST.background_and_size(docs)
     total = bg.select(F.sum("bg_count")).scalar()
-    hot = {r.term for r in SK.hot_keys(bg, ["term"], "bg_count", total).collect()}
-    assert "the" in hot and len(hot) <= SK.HOT_DENOMINATOR
+    hot = SK.hot_keys(bg, ["term"], "bg_count", total, target_tasks=30)
+    assert hot.columns == ["_h1", "_h2", "_salts"]           # fixed width, whatever the terms are
+    rows_of = {(r._h1, r._h2): r._salts for r in hot.collect()}
+    the = bg.where("term = 'the'").select(F.xxhash64("term").alias("a"), F.xxhash64(F.lit("salt"), "term").alias("b"))
+    # 3,000 of the 12,000-odd pairs: a quarter of 30 tasks, rounded up
+    assert rows_of[tuple(the.first())] == 8 and len(rows_of) <= SK.HOT_DENOMINATOR
     df = E.keyterms(docs, E.ExtractConfig(keyword_stopwords=None, max_doc_keyterms=K))
     got = sorted((r.doc_id, r.term, r.bg_count, r.rank) for r in df.collect())
     assert got == _brute(rows)
     assert "xxhash64" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_background_keeps_plain_join(spark, tmp_path):
-    # parquet input: Spark knows the size, plans a broadcast, and no salting is needed
-    rows, docs = _fixture(spark)
-    docs.write.parquet(str(tmp_path / "docs"))
-    docs = spark.read.parquet(str(tmp_path / "docs"))
-    df = E.keyterms(docs, E.ExtractConfig(keyword_stopwords=None, max_doc_keyterms=K))
-    assert sorted((r.doc_id, r.term, r.bg_count, r.rank) for r in df.collect()) == _brute(rows)
-    assert "xxhash64" not in df._jdf.queryExecution().executedPlan().toString()
+def test_salted_rows_spread_over_partitions(spark):
+    big = spark.range(3000).select("id", F.lit("hot").alias("key"))
+    agg = big.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = SK.salted_join(big, agg, ["key"], "n", agg.select(F.sum("n")).scalar(), "id", target_tasks=64)
+        parts = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 4 and max(r["count"] for r in parts) < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_group_with_a_hot_term(spark):
+    # one group holds most rows and one term is in every document of it
+    rows = [(d, "big" if d % 10 else "small", f"hot w{d % 50} x{d % 7}") for d in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {(r.source, r.term): (r.fg_count, r.bg_count) for r in
+           ST.significant_terms(docs, "source", size=100).collect()}
+    for (source, term), (fg, bg) in got.items():
+        held = [s for _, s, text in rows if term in text.split()]
+        assert (fg, bg) == (held.count(source), len(held))
+    sizes = Counter(s for _, s, _ in rows)
+    for term in {t for _, _, text in rows for t in text.split()}:
+        held = Counter(s for _, s, text in rows if term in text.split())
+        for s in held:
+            assert ((s, term) in got) == (held[s] * len(rows) > sum(held.values()) * sizes[s])
 
 
 def test_salted_join_equals_plain_join(spark):
