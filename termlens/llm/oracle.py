@@ -44,4 +44,45 @@ SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
 FROM m GROUP BY page_id, host, path
 """
 
-ORACLE = {"op2_chat_formatting": OP2, "op5_url_filter": OP5}
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, hex(coalesce(text, '')) AS h, length(hex(coalesce(text, ''))) // 2 AS n FROM documents
+), w AS (
+  SELECT doc_id, unnest(range(n - 99)) AS p, h FROM d WHERE n >= 100
+), k AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s FROM w
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS nth FROM k) WHERE nth > 1
+), f AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS new FROM r
+), g AS (
+  SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM f
+), spans AS (
+  SELECT doc_id, span, min(p) AS a, max(p) + 100 AS b FROM g GROUP BY doc_id, span
+), parts AS (
+  SELECT doc_id, span, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY span) AS since FROM spans
+), kept AS (
+  SELECT p.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+    string_agg(substr(d.h, 2 * since + 1, 2 * (a - since)), '' ORDER BY span) || substr(any_value(d.h), 2 * max(b) + 1) AS h
+  FROM parts p JOIN d USING (doc_id) GROUP BY p.doc_id
+)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+  coalesce(k.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+OP6 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE = {"op2_chat_formatting": OP2, "op3_suffix_dedup": OP3, "op5_url_filter": OP5, "op6_exact_topk": OP6}
