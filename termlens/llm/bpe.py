@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlens.llm.common import blocks, expand
+from termlens.llm.common import blocks, expand, tidy
 from termlens.llm.pretokens import WordCoder
 
 SHIFT = 20
@@ -182,14 +182,14 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([block.column(0), pa.ListArray.from_arrays(offsets, flat)],
                                              names=["doc_id", "ids"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded): the bytes the ids stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
-        for batch in batches:
+        for batch in blocks(batches, "ids", 1 << 18):
             ids = [np.asarray(x.values if x.is_valid else [], dtype=np.uint32) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
@@ -199,4 +199,4 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     kind = dict(encoded.dtypes)["doc_id"]
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded binary")
+        tidy(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded binary")

@@ -6,6 +6,7 @@ scratch folder is made only for a local master that names none (tests).
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -44,19 +45,39 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slice Arrow batches so that ``column`` holds about ``limit`` bytes a slice (one
-    row at least)."""
+    """Slice Arrow batches so that ``column`` holds about ``limit`` bytes (or list items) a
+    slice, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        length = pc.list_value_length if pa.types.is_list(col.type) else pc.binary_length
+        sizes = pc.fill_null(length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, and what its
+    allocator keeps would add to the next operator's needs."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+    pa.default_memory_pool().release_unused()
+
+
+def tidy(run):
+    """Wrap a ``mapInArrow`` function so that its task ends by giving memory back."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenated ranges ``starts[i] .. starts[i] + counts[i] - 1``."""
     total = int(counts.sum())

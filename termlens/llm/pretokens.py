@@ -26,6 +26,7 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 BASE = 0x9E3779B97F4A7C15
 LONG_WORD = 256
+TABLE = 1 << 21
 
 
 @lru_cache(maxsize=2)
@@ -48,7 +49,7 @@ def class_table(lowered: bool) -> np.ndarray:
     return table
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(size, BASE, np.uint64)
     down = np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
@@ -57,8 +58,9 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``BASE`` and of its inverse modulo 2**64, ``n`` at least."""
-    return _powers(1 << max(16, int(n).bit_length()))
+    """Powers of ``BASE`` and of its inverse modulo 2**64, ``n`` at least.  One table serves
+    all blocks; only a text longer than a block makes a larger one."""
+    return _powers(max(TABLE, 1 << int(n).bit_length()))
 
 
 def cut(texts: Sequence[str], spaced: bool) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
