@@ -32,9 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termlens.llm.common import blocks, expand
+from termlens.llm.common import blocks, expand, tidy
 
-BLOCK = 1 << 21
 BUCKETS, TRAIN_ROWS, SWITCH, SMOOTH, MIN_SCRIPT = 1 << 16, 2000, 6.0, 0.5, 0.01
 UNKNOWN = "und"
 # fixed values: first and last code points of the scripts told apart; all other letters are one more
@@ -124,16 +123,47 @@ class Model:
         return out
 
     def label(self, words: Words) -> np.ndarray:
-        """Viterbi over the words of each text, all texts side by side, one word at a time."""
+        """The best path of every text.  Most texts keep one language throughout, which is
+        proven without walking them: if no stretch of words gains another language more than
+        a switch costs, and none at either end more than half of that, then no other path
+        gains what its switches cost."""
         scores = self.word_scores(words)
+        n = scores.shape[1]
+        if not n:
+            return np.empty(0, np.int64)
+        new = np.r_[True, words.owner[1:] != words.owner[:-1]]
+        first = np.flatnonzero(new)
+        text = np.cumsum(new) - 1
+        top = np.add.reduceat(scores.astype(float), first, axis=1).argmax(axis=0)
+        label = top[text]
+        own = scores[label, np.arange(n)].astype(float)
+        mixed = np.zeros(len(first), bool)
+        for row in scores:
+            gain = np.cumsum(row - own)
+            gain -= np.where(first > 0, gain[first - 1], 0)[text]
+            before = gain - (row - own)
+            apart = text * (np.ptp(before) + 1)  # a running minimum that starts anew with each text
+            low = np.minimum.accumulate(before - apart) + apart
+            total = gain[np.r_[first[1:], n] - 1]
+            mixed |= ((np.maximum.reduceat(gain - low, first) > SWITCH)
+                      | (np.maximum.reduceat(gain, first) > SWITCH / 2)
+                      | (total - np.minimum.reduceat(before, first) > SWITCH / 2))
+        walked = mixed[text]
+        if walked.any():
+            label[walked] = self.walk(scores[:, walked], text[walked])
+        return label
+
+    def walk(self, scores: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Viterbi over the words of each text, all texts side by side, one word at a time."""
         n_lang, n = scores.shape
-        counts = np.bincount(words.owner, minlength=words.n_texts)
+        owner = np.unique(owner, return_inverse=True)[1]
+        counts = np.bincount(owner)
         first = np.cumsum(counts) - counts
         order = np.argsort(-counts, kind="stable")
         lead, length = first[order], counts[order]
         alive = np.searchsorted(-length, -np.arange(1, int(length[0]) + 1 if n else 1), side="right")
         came = np.empty((n_lang, n), np.int8 if n_lang < 128 else np.int32)
-        best = np.zeros((n_lang, words.n_texts), np.float32)
+        best = np.zeros((n_lang, len(counts)), np.float32)
         lanes = np.arange(n_lang)[:, None]
         for t in range(int(length[0]) if n else 0):
             m = alive[t]
@@ -141,12 +171,11 @@ class Model:
             now = best[:, :m]
             if t:
                 top = now.argmax(axis=0)
-                peak = now[top, np.arange(m)] - SWITCH
-                stay = now >= peak
-                came[:, at] = np.where(stay, lanes, top)
-                now = np.where(stay, now, peak)
                 now -= now.max(axis=0)  # only differences matter: keeps long texts exact
-            best[:, :m] = now + scores[:, at]
+                stay = now >= -SWITCH
+                came[:, at] = np.where(stay, lanes, top)
+                np.maximum(now, -SWITCH, out=now)
+            now += scores[:, at]
         label = np.empty(n, np.int32)
         state = best.argmax(axis=0)
         for t in range(int(length[0]) - 1 if n else -1, -1, -1):
@@ -201,7 +230,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = np.zeros((len(languages), BUCKETS), np.int64)
         scripts = np.zeros((len(languages), len(SCRIPT_NAMES)), np.int64)
-        for block in blocks(batches, "text", BLOCK):
+        for block in blocks(batches):
             words = Words.of(_texts(block.column(0)))
             of = np.array([index[k] for k in block.column(1).to_pylist()])[words.owner]
             sizes_ = np.diff(np.r_[words.first_gram, len(words.grams)])
@@ -215,7 +244,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
 
     grams = np.zeros((len(languages), BUCKETS))
     scripts = np.zeros((len(languages), len(SCRIPT_NAMES)))
-    parts = sample.mapInArrow(count, "kind int, lang int, bucket int, n long")
+    parts = sample.mapInArrow(tidy(count), "kind int, lang int, bucket int, n long")
     # languages x (buckets + scripts) rows at most, whatever the corpus
     for r in parts.groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         (scripts if r["kind"] else grams)[r["lang"], r["bucket"]] = r["n"]
@@ -236,7 +265,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", BLOCK):
+        for block in blocks(batches):
             lang, score, spans = shared.value.predict(_texts(block.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [block.column(0), pa.array(lang, pa.string()), pa.array(score),
@@ -247,7 +276,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                            T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(T.StructType([
                                T.StructField("start", T.LongType()), T.StructField("stop", T.LongType()),
                                T.StructField("lang", T.StringType())])))])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
@@ -259,8 +288,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col, BLOCK):
+        for block in blocks(batches, text_col):
             lang, score, _ = shared.value.predict(_texts(block.column(at)))
             yield block.filter(pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

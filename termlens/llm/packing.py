@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlens.llm.common import blocks, checkpoint
+from termlens.llm.common import blocks, checkpoint, tidy
 from termlens.llm.pretokens import WordCoder
 
 CAPACITY, END_ID = 2048, 0
@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, piece int, start long, length long, "
+    return rows.mapInArrow(tidy(run), f"doc_id {dict(rows.dtypes)['doc_id']}, piece int, start long, length long, "
                                 "ids_crc32 long, task long, nth long" + ", ids array<int>" * with_ids)
 
 
@@ -296,5 +296,5 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "do
                 [*batch.columns[:5], pa.array(sequence), pa.array(offset), *batch.columns[6:]],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + ["ids"] * with_ids)
 
-    return ranked.mapInArrow(run, f"doc_id {dict(cut.dtypes)['doc_id']}, piece int, start long, length long, "
+    return ranked.mapInArrow(tidy(run), f"doc_id {dict(cut.dtypes)['doc_id']}, piece int, start long, length long, "
                                   "ids_crc32 long, sequence_id long, offset long" + ", ids array<int>" * with_ids)

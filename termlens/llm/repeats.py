@@ -36,11 +36,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termlens.llm.common import expand, mix
+from termlens.llm.common import blocks, expand, mix, tidy
 from termlens.llm.pretokens import powers
 
 MIN_LENGTH, ANCHOR = 100, 32
@@ -228,12 +229,12 @@ def hot_anchors(docs: DataFrame, text_col: str, min_length: int, anchor: int) ->
         F.encode(text, "UTF-8").alias("bytes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((0, 0, b.as_py() or b"") for batch in batches for b in batch.column(0))
+        rows = ((0, 0, b.as_py() or b"") for batch in blocks(batches, "bytes") for b in batch.column(0))
         for found, context, *_ in anchor_rows(rows, min_length, anchor, np.empty(0, np.uint64)):
             if context is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(context)], names=["hash", "context"])
 
-    counted = (sample.mapInArrow(run, "hash long, context long").distinct().groupBy("hash")
+    counted = (sample.mapInArrow(tidy(run), "hash long, context long").distinct().groupBy("hash")
                .agg(F.count("*").alias("n")).filter(F.col("n") >= HOT_CONTEXTS))
     return np.sort(np.array([r["hash"] for r in counted.collect()], dtype=np.int64).view(np.uint64))
 
@@ -273,16 +274,28 @@ def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_co
     keyed = rows.withColumn("__base", F.coalesce(F.sum(F.length("__bytes") + 1).over(ahead), F.lit(0)).cast("long"))
 
     def texts(batches):
-        for batch in batches:
+        for batch in blocks(batches, "__bytes"):
             yield from zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(1).to_pylist())
 
+    def runs_of(batch: pa.RecordBatch, *fields: str):
+        """For each row its bytes and, as arrays, its runs: place in the text and the fields asked for."""
+        lists = batch.column(4)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        flat = lists.flatten()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        columns = [flat.field(f) for f in ("lo", "n", *fields)]
+        lo = columns[0].to_numpy() - batch.column(3).to_numpy()[row]
+        size = pc.binary_length(batch.column(1)).to_numpy()
+        own = (lo >= 0) & (lo < size[row])  # an id's runs go to the one of its texts that holds them
+        return row[own], lo[own], columns[1].to_numpy()[own], [c.filter(pa.array(own)) for c in columns[2:]]
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, context, doc, lo, n in anchor_rows(texts(batches), min_length, anchor, hot):
             yield pa.RecordBatch.from_arrays([
                 pa.array(found), pa.nulls(len(found), pa.int64()) if context is None else pa.array(context),
                 pa.array(doc), pa.array(lo), pa.array(n)], names=["hash", "context", "__id", "lo", "n"])
 
-    runs = (keyed.mapInArrow(anchors, "hash long, context long, __id long, lo long, n long")
+    runs = (keyed.mapInArrow(tidy(anchors), "hash long, context long, __id long, lo long, n long")
             .repartition("hash").sortWithinPartitions("hash", "context", "__id", "lo"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,25 +335,22 @@ def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_co
                 [pa.array(np.r_[x[old], x[kept]]) for x in (doc, lo, n)]
                 + [pa.concat_arrays([pa.nulls(int(old.sum()), pa.int64()), pa.array(found[kept])])], names=names)
 
-    judged = runs.mapInArrow(judge, "__id long, lo long, n long, hash long")
+    judged = runs.mapInArrow(tidy(judge), "__id long, lo long, n long, hash long")
     by_doc = judged.groupBy("__id").agg(F.collect_list(F.struct("lo", "n", "hash")).alias("__runs"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = ([], [], [], [], [])
-            for doc, data, base, found in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4))):
-                for r in found:
-                    at = r["lo"] - base
-                    if r["hash"] is not None and 0 <= at < len(data):
-                        for column, x in zip(out, (r["hash"], doc, r["lo"], r["n"],
-                                                   data[at:at + r["n"] + min_length - 1])):
-                            column.append(x)
+        for batch in blocks(batches, "__bytes"):
+            row, at, n, (found,) = runs_of(batch, "hash")
+            open_ = found.is_valid().to_numpy(zero_copy_only=False)
+            row, at, n, found = row[open_], at[open_], n[open_], found.drop_null()
+            data = batch.column(1).to_pylist()
+            parts = [data[r][a:b] for r, a, b in zip(row.tolist(), at.tolist(), (at + n + min_length - 1).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())],
-                names=["hash", "__id", "lo", "n", "bytes"])
+                [found, pa.array(batch.column(0).to_numpy()[row]), pa.array(at + batch.column(3).to_numpy()[row]),
+                 pa.array(n), pa.array(parts, pa.binary())], names=["hash", "__id", "lo", "n", "bytes"])
 
     compare = (keyed.join(by_doc, "__id").select("__id", "__bytes", "__rest", "__base", "__runs")
-               .mapInArrow(contexts, "hash long, __id long, lo long, n long, bytes binary")
+               .mapInArrow(tidy(contexts), "hash long, __id long, lo long, n long, bytes binary")
                .repartition("hash").sortWithinPartitions("hash", "__id", "lo"))
 
     def factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,27 +376,30 @@ def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_co
         if held:
             yield from _chunks(pa.Table.from_batches(held).combine_chunks(), removed, True)
 
-    found = compare.mapInArrow(factors, "__id long, lo long, n long")
+    found = compare.mapInArrow(tidy(factors), "__id long, lo long, n long")
     cover = (judged.filter("hash is null").select("__id", "lo", "n").union(found)
              .groupBy("__id").agg(F.collect_list(F.struct("lo", "n")).alias("__runs")))
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches, "__bytes"):
             removed, spans, kept, sizes = [], [], [], []
-            for data, base, runs_ in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4))):
+            row, at, n, _ = runs_of(batch)
+            cuts = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            for k, data in enumerate(batch.column(1).to_pylist()):
                 sizes.append(len(data))
-                marks = np.zeros(len(data) + 1, np.int64)
-                for r in runs_ or ():
-                    at = r["lo"] - base
-                    if 0 <= at < len(data):
-                        marks[at] += 1
-                        marks[at + r["n"] + min_length - 1] -= 1
+                if cuts[k] == cuts[k + 1]:
+                    removed.append(0)
+                    spans.append(0)
+                    kept.append(data.decode("utf-8") if as_text else data)
+                    continue
+                mine = slice(cuts[k], cuts[k + 1])
+                marks = np.bincount(at[mine], minlength=len(data) + 1).astype(np.int64)
+                marks -= np.bincount((at + n)[mine] + min_length - 1, minlength=len(data) + 1)
                 gone = np.cumsum(marks)[:-1] > 0
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                if removed[-1]:
-                    raw = np.frombuffer(data, dtype=np.uint8)
-                    data = raw[~(_whole_characters(raw, gone) if as_text else gone)].tobytes()
+                raw = np.frombuffer(data, dtype=np.uint8)
+                data = raw[~(_whole_characters(raw, gone) if as_text else gone)].tobytes()
                 kept.append(data.decode("utf-8") if as_text else data)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
@@ -396,7 +409,7 @@ def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_co
         T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [
         T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     return (keyed.join(cover, "__id", "left").select("__id", "__bytes", "__rest", "__base", "__runs")
-            .mapInArrow(drop, schema).select(*(["rest.*"] if as_text else ["rest.*", "n_bytes", "n_removed", "n_spans"]),
+            .mapInArrow(tidy(drop), schema).select(*(["rest.*"] if as_text else ["rest.*", "n_bytes", "n_removed", "n_spans"]),
                                              "kept"))
 
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termlens.llm.common import checkpoint, expand
+from termlens.llm.common import checkpoint, expand, tidy
 
 SEED = 42
 MAX_QUERIES = 8192
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))],
                                              names=["doc_id", "text_hash", "fp"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash long, fp long")
+    return rows.mapInArrow(tidy(run), f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash long, fp long")
 
 
 def shard_masks(radius: int) -> list[int]:
@@ -199,7 +199,7 @@ def links(fps: DataFrame, radius: int = 3, max_queries: int = MAX_QUERIES) -> Da
         if held and (out := found(*(np.concatenate(x) for x in zip(*held)))) is not None:
             yield out
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
