@@ -1,8 +1,8 @@
 """Quality rules: an isolation forest on rule statistics.
 
 1. ``rule_statistics`` counts, over every whole text, what quality rules look at.
-2. ``fit`` grows isolation forests on a bounded sample of the statistics (``SAMPLE_ROWS``
-   rows with the smallest hash of the id; ``N_TREES`` trees of ``SUBSAMPLE`` rows): random
+2. ``fit`` grows isolation forests on a bounded sample of the statistics (about
+   ``SAMPLE_ROWS`` rows, drawn evenly by place in the checkpointed statistics; ``N_TREES`` trees of ``SUBSAMPLE`` rows): random
    feature, random split value, short paths mark what is easy to set apart.  One forest takes
    all rates together, one more each rate alone (``VIEWS``): what is rare in a harmless rate
    must not hide what is rare in a telling one.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termlens.llm.common import checkpoint
+from termlens.llm.common import checkpoint, tidy
 
 SAMPLE_ROWS, N_TREES, SUBSAMPLE, SEED = 8192, 128, 256, 17
 BINS, MAX_CLEAN_LOSS, MIN_GAIN, DEFAULT_CUT = 1000, 0.001, 0.02, 0.75
@@ -86,7 +86,7 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 [batch.column(0), *(pa.array(table[:, k]) for k in range(len(COUNTS)))],
                 names=["doc_id", *COUNTS])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def features(counts: np.ndarray) -> np.ndarray:
@@ -209,7 +209,7 @@ def scored(stats: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([*stats.select("doc_id", *COUNTS).schema,
                            T.StructField("base_failed", T.BooleanType()),
                            T.StructField("margin", T.DoubleType()), T.StructField("kept", T.BooleanType())])
-    return stats.select("doc_id", *COUNTS).mapInArrow(run, schema)
+    return stats.select("doc_id", *COUNTS).mapInArrow(tidy(run), schema)
 
 
 def _histogram(marked: DataFrame, model: Model) -> np.ndarray:
@@ -225,7 +225,7 @@ def _histogram(marked: DataFrame, model: Model) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (view, good, at, hist[view, good, at])],
                                          names=["view", "good", "bin", "n"])
 
-    parts = marked.mapInArrow(run, "view long, good long, bin long, n long")
+    parts = marked.mapInArrow(tidy(run), "view long, good long, bin long, n long")
     total = np.zeros((len(VIEWS), 2, BINS + 1))
     for r in parts.groupBy("view", "good", "bin").agg(F.sum("n").alias("n")).collect():  # bounded by its keys
         total[r["view"], r["good"], r["bin"]] = r["n"]
@@ -234,8 +234,8 @@ def _histogram(marked: DataFrame, model: Model) -> np.ndarray:
 
 def fit(stats: DataFrame, labels: DataFrame | None) -> Model:
     """The forests, and their cuts calibrated on every labelled row."""
-    sample = (stats.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(SAMPLE_ROWS)
-              .select(*COUNTS).collect())  # bounded by SAMPLE_ROWS
+    share = min(1.0, SAMPLE_ROWS / max(1, stats.count()))
+    sample = stats.filter(F.rand(SEED) < share).select(*COUNTS).collect()  # about SAMPLE_ROWS
     rows = np.array([tuple(r) for r in sample], dtype=np.int64).reshape(-1, len(COUNTS))
     rates = features(rows[~failed_base(rows)])
     model = Model([Forest.fit(rates[:, view]) for view in VIEWS], [DEFAULT_CUT] + [2.0] * (len(VIEWS) - 1))
@@ -272,4 +272,4 @@ def keep_good(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id",
             counts = np.array([count_text(t.as_py()) for t in batch.column(at)], np.int64).reshape(-1, len(COUNTS))
             yield batch.filter(pa.array(model.judge(counts)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
