@@ -20,6 +20,7 @@ from termlens.llm.common import shared_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE, RADIUS = 3, 3
+MIN_SHARE = 0.3
 MIN_LENGTH = 100
 CAPACITY = 2048
 
@@ -33,8 +34,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language of at least half their letters go."""
-    return langid.keep_identified(docs.select(*COLUMNS), min_score=0.5)
+    """Documents without a letter, or without a language of ``MIN_SHARE`` of their letters, go."""
+    return langid.keep_identified(docs.select(*COLUMNS), min_score=MIN_SHARE)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

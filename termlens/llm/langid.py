@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termlens.llm.common import blocks, expand, tidy
+from termlens.llm.pretokens import PART, text_parts
 
 BUCKETS, TRAIN_ROWS, SWITCH, SMOOTH, MIN_SCRIPT = 1 << 16, 2000, 6.0, 0.5, 0.01
 UNKNOWN = "und"
@@ -122,16 +123,15 @@ class Model:
         out[~fits & fits.any(axis=0)] = -1e6
         return out
 
-    def label(self, words: Words) -> np.ndarray:
+    def label(self, scores: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """The best path of every text.  Most texts keep one language throughout, which is
         proven without walking them: if no stretch of words gains another language more than
         a switch costs, and none at either end more than half of that, then no other path
         gains what its switches cost."""
-        scores = self.word_scores(words)
         n = scores.shape[1]
         if not n:
             return np.empty(0, np.int64)
-        new = np.r_[True, words.owner[1:] != words.owner[:-1]]
+        new = np.r_[True, owner[1:] != owner[:-1]]
         first = np.flatnonzero(new)
         text = np.cumsum(new) - 1
         top = np.add.reduceat(scores.astype(float), first, axis=1).argmax(axis=0)
@@ -186,24 +186,45 @@ class Model:
                 state[:m] = came[state[:m], at]
         return label
 
+    def words_of(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(owner, start, stop, scores) of all words, texts cut into parts of bounded size."""
+        parts, of, shift = [], [], []
+        for k, text in enumerate(texts):
+            at = 0
+            for part in text_parts(text.lower()):
+                parts.append(part)
+                of.append(k)
+                shift.append(at)
+                at += len(part)
+        of, shift = np.array(of, np.int64), np.array(shift, np.int64)
+        size = np.cumsum([len(p) for p in parts])
+        cuts = [0, *(np.flatnonzero(np.diff(size // PART)) + 1).tolist(), len(parts)]
+        found = []
+        for a, b in zip(cuts, cuts[1:]):
+            w = Words.of(parts[a:b])
+            found.append((of[a:b][w.owner], w.start + shift[a:b][w.owner], w.stop + shift[a:b][w.owner], self.word_scores(w)))
+        return tuple(np.concatenate(x, axis=-1) for x in zip(*found))
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[dict]]]:
-        """(language, score, spans) of every text."""
-        words = Words.of(texts)
-        n = len(words.start)
-        if not n or not self.languages:
+        """(language, score, spans) of every text; a long text's words are scored in parts."""
+        if not self.languages:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+        owner, start, stop, scores = self.words_of(texts)
+        n = len(start)
+        if not n:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
-        label = self.label(words)
-        letters = words.stop - words.start
-        share = np.zeros((words.n_texts, len(self.languages)), np.int64)
-        np.add.at(share, (words.owner, label), letters)
+        label = self.label(scores, owner)
+        letters = stop - start
+        share = np.zeros((len(texts), len(self.languages)), np.int64)
+        np.add.at(share, (owner, label), letters)
         top, total = share.argmax(axis=1), share.sum(axis=1)
         score = share.max(axis=1) / np.maximum(total, 1)
         lang = [self.languages[k] if n_ else UNKNOWN for k, n_ in zip(top, total)]
-        new = np.r_[True, (label[1:] != label[:-1]) | (words.owner[1:] != words.owner[:-1])]
+        new = np.r_[True, (label[1:] != label[:-1]) | (owner[1:] != owner[:-1])]
         head = np.flatnonzero(new)
         tail = np.r_[head[1:], n] - 1
         spans: list[list[dict]] = [[] for _ in texts]
-        for o, a, b, k in zip(words.owner[head].tolist(), words.start[head].tolist(), words.stop[tail].tolist(),
+        for o, a, b, k in zip(owner[head].tolist(), start[head].tolist(), stop[tail].tolist(),
                               label[head].tolist()):
             spans[o].append({"start": a, "stop": b, "lang": self.languages[k]})
         return lang, score, spans
@@ -231,6 +252,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
         grams = np.zeros((len(languages), BUCKETS), np.int64)
         scripts = np.zeros((len(languages), len(SCRIPT_NAMES)), np.int64)
         for block in blocks(batches):
+            # (a labelled text longer than a block is counted whole: the sample is bounded)
             words = Words.of(_texts(block.column(0)))
             of = np.array([index[k] for k in block.column(1).to_pylist()])[words.owner]
             sizes_ = np.diff(np.r_[words.first_gram, len(words.grams)])
@@ -279,7 +301,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(tidy(run), schema)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """The rows whose text has a language holding at least ``min_score`` of its letters, with
     all columns of ``docs``; learned from the rows not held out."""

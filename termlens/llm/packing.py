@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
         for block in blocks(batches):
             raw = [t or "" for t in block.column(1).to_pylist()]
             row, nth_piece, start, length, crc, nth, ids = [], [], [], [], [], [], []
-            for k, found in enumerate(coder.ids([normal(t) for t in raw], False, words.slow, raw)):
+            for k, found in enumerate(coder.ids(raw, False, words.slow, normal)):
                 data = np.append(found, END_ID).astype("<u4")
                 for p, at in enumerate(range(0, len(data), capacity)):
                     part = data[at:at + capacity]

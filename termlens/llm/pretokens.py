@@ -10,8 +10,9 @@ agree on them; a text holding any other character is left to the caller's own sl
 from __future__ import annotations
 
 import hashlib
+import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +28,8 @@ SHORT, LONG = "stmd", ("re", "ve", "ll")
 BASE = 0x9E3779B97F4A7C15
 LONG_WORD = 256
 TABLE = 1 << 21
+PART = 1 << 20
+BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=2)
@@ -137,6 +140,16 @@ def word_hashes(joined: str, starts: np.ndarray, stops: np.ndarray) -> np.ndarra
     return out
 
 
+def text_parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """The text cut into parts of about ``size`` characters, before single blanks between
+    other characters: there a word of either rule begins."""
+    at = 0
+    while len(text) - at > size and (blank := BLANK.search(text, at + size)):
+        yield text[at:blank.start()]
+        at = blank.start()
+    yield text[at:]
+
+
 class WordCoder:
     """Ids of words, each distinct word of a block encoded once and remembered up to
     ``limit`` words.  ``encode(words) -> (flat ids, ids per word)`` does the work."""
@@ -147,9 +160,23 @@ class WordCoder:
         self.at = self.size = np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
 
-    def ids(self, texts: Sequence[str], spaced: bool, slow, raw: Sequence[str] | None = None) -> list[np.ndarray]:
-        """The ids of every text; ``slow`` serves texts the tables are not sure of, from what
-        they were before normalising (``raw``)."""
+    def ids(self, texts: Sequence[str], spaced: bool, slow, normal=None) -> list[np.ndarray]:
+        """The ids of every text, normalised by ``normal`` first; ``slow(text)`` serves texts the
+        tables are not sure of.  Long texts are coded in parts, about ``PART`` characters
+        together."""
+        parts = [list(text_parts(t)) for t in texts]
+        flat = [p for own in parts for p in own]
+        size = np.cumsum([len(p) for p in flat])
+        cuts = [0, *(np.flatnonzero(np.diff(size // PART)) + 1).tolist(), len(flat)]
+        found = [ids for a, b in zip(cuts, cuts[1:]) for ids in self._ids(flat[a:b], spaced, slow, normal)]
+        out, at = [], 0
+        for own in parts:
+            out.append(found[at] if len(own) == 1 else np.concatenate(found[at:at + len(own)]))
+            at += len(own)
+        return out
+
+    def _ids(self, raw: Sequence[str], spaced: bool, slow, normal) -> list[np.ndarray]:
+        texts = [normal(t) for t in raw] if normal else raw
         joined, starts, stops, owner, sure = cut(texts, spaced)
         hashes = word_hashes(joined, starts, stops)
         distinct, lead, back = np.unique(hashes, return_index=True, return_inverse=True)
@@ -176,4 +203,4 @@ class WordCoder:
         per_text = np.bincount(owner, weights=size, minlength=len(texts)).astype(np.int64)
         cuts = np.r_[0, np.cumsum(per_text)]
         return [flat[a:b] if s else np.asarray(slow(t), dtype=np.uint32)
-                for t, s, a, b in zip(raw or texts, sure, cuts[:-1].tolist(), cuts[1:].tolist())]
+                for t, s, a, b in zip(raw, sure, cuts[:-1].tolist(), cuts[1:].tolist())]

@@ -2,14 +2,16 @@
 
 1. ``rule_statistics`` counts, over every whole text, what quality rules look at.
 2. ``fit`` grows isolation forests on a bounded sample of the statistics (about
-   ``SAMPLE_ROWS`` rows, drawn evenly by place in the checkpointed statistics; ``N_TREES`` trees of ``SUBSAMPLE`` rows): random
-   feature, random split value, short paths mark what is easy to set apart.  One forest takes
+   ``SAMPLE_ROWS`` rows, drawn evenly by place in the checkpointed statistics; ``N_TREES``
+   trees of ``SUBSAMPLE`` rows): random feature, random split value, short paths mark what is
+   easy to set apart.  One forest takes
    all rates together, one more each rate alone (``VIEWS``): what is rare in a harmless rate
    must not hide what is rare in a telling one.
-3. Each forest's threshold is calibrated from all labelled rows: of the cuts that reject at
-   most ``MAX_CLEAN_LOSS`` of the good rows, the one with the best difference of rejection
-   rates; a forest whose best difference is below ``MIN_GAIN`` rejects nothing.  The driver
-   sees a histogram of ``BINS`` bins per forest and label.
+3. The thresholds are calibrated from all labelled rows, one forest after the other: of all
+   cuts that reject at most ``MAX_CLEAN_LOSS`` of the good rows, the one with the best
+   difference of rejection rates is taken, then the next on the rows not rejected so far,
+   until none gains ``MIN_GAIN``; the other forests reject nothing.  The driver sees a
+   histogram of ``BINS`` bins per forest and label.
 4. A document is kept if the base rules and all forests keep it.
 
 Defined results: null or blank text has no words and fails the base rule; without usable
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termlens.llm.common import checkpoint, tidy
+from termlens.llm.simhash import word_parts
 
 SAMPLE_ROWS, N_TREES, SUBSAMPLE, SEED = 8192, 128, 256, 17
 BINS, MAX_CLEAN_LOSS, MIN_GAIN, DEFAULT_CUT = 1000, 0.001, 0.02, 0.75
@@ -41,15 +44,18 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def count_text(text: str | None) -> tuple[int, ...]:
     """The rule statistics of one text, in the order of ``COUNTS``."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    words = data.split()  # ASCII white space: space, \t, \n, \v, \f, \r
-    n = len(words)
+
+    def count(characters: bytes) -> int:
+        return len(data) - len(data.translate(None, characters))
+
+    ids: dict[bytes, int] = {}
+    codes = np.concatenate([np.empty(0, np.int64), *(
+        np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64) for words in word_parts(data))])
+    n = len(codes)
     if not n:
-        return (0, 0, len(data) - len(data.translate(None, SYMBOLS)), 0, 0, 0, 0, 0, 0)
-    joined = b"".join(words)
-    chars = len(joined.decode("utf-8", "surrogatepass"))
+        return (0, 0, count(SYMBOLS), 0, 0, 0, 0, 0, 0)
+    chars = len(text) - count(b" \t\n\x0b\x0c\r")
     lines = [x for x in data.split(b"\n") if x.strip()]
-    ids: dict[bytes, int] = {}
-    codes = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64)
     repeated = 0
     if n >= 4:
         width = len(ids)
@@ -67,10 +73,8 @@ def count_text(text: str | None) -> tuple[int, ...]:
         for k in range(3):
             covered[k:n - 2 + k] |= twice
         repeated = int(covered.sum())
-    upper = len(joined) - len(joined.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    digits = len(joined) - len(joined.translate(None, b"0123456789"))
-    symbols = len(data) - len(data.translate(None, SYMBOLS))
-    return n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines), len(ids), upper, digits
+    return (n, chars, count(SYMBOLS), len(lines) - len(set(lines)), repeated, len(lines), len(ids),
+            count(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), count(b"0123456789"))
 
 
 def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,14 +217,17 @@ def scored(stats: DataFrame, model: Model) -> DataFrame:
 
 
 def _histogram(marked: DataFrame, model: Model) -> np.ndarray:
-    """Labelled rows by view, label and score bin; partial histograms are added up."""
+    """Labelled rows the model keeps so far, by view, label and score bin; partial histograms
+    are added up."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hist = np.zeros((len(VIEWS), 2, BINS + 1), dtype=np.int64)
         for batch in batches:
             good = batch.column(1 + len(COUNTS)).to_numpy(zero_copy_only=False).astype(int)
-            bins = np.floor(model.scores(_matrix(batch)) * BINS).astype(int)
+            scores = model.scores(_matrix(batch))
+            kept = (scores <= np.array(model.cuts)).all(axis=1)
+            bins = np.floor(scores * BINS).astype(int)
             for view in range(len(VIEWS)):
-                np.add.at(hist[view], (good, bins[:, view]), 1)
+                np.add.at(hist[view], (good[kept], bins[kept, view]), 1)
         view, good, at = np.nonzero(hist)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (view, good, at, hist[view, good, at])],
                                          names=["view", "good", "bin", "n"])
@@ -245,14 +252,23 @@ def fit(stats: DataFrame, labels: DataFrame | None) -> Model:
         (F.min("quality") > 0).alias("good"))
     marked = (stats.filter(f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words")
               .select("doc_id", *COUNTS).join(marks, "doc_id"))
-    hist = _histogram(marked, model)
-    totals = hist.sum(axis=2)
-    if totals.all():
-        above = 1 - np.cumsum(hist, axis=2) / totals[:, :, None]  # share of a label above a bin
+    cuts, total = [2.0] * len(VIEWS), None
+    for _ in VIEWS:
+        model.cuts = cuts
+        hist = _histogram(marked, model)
+        left = hist.sum(axis=2)[:, :, None]
+        if total is None:
+            total = left
+            if not total.all():
+                model.cuts = [DEFAULT_CUT] + cuts[1:]
+                break
+        above = (left - np.cumsum(hist, axis=2)) / total  # share of a label above a bin
         gain = np.where(above[:, 1] <= MAX_CLEAN_LOSS, above[:, 0] - above[:, 1], -1.0)
-        for view, g in enumerate(gain):
-            best = np.flatnonzero(g == g.max())  # equally good cuts: the middle one
-            model.cuts[view] = (best[0] + best[-1] + 2) / 2 / BINS if g.max() >= MIN_GAIN else 2.0
+        view = int(gain.max(axis=1).argmax())
+        if gain[view].max() < MIN_GAIN:
+            break
+        best = np.flatnonzero(gain[view] == gain[view].max())  # equally good cuts: the middle one
+        cuts[view] = min(cuts[view], (best[0] + best[-1] + 2) / 2 / BINS)
     return model
 
 

@@ -255,10 +255,27 @@ def without_repeats(docs: DataFrame, min_length: int = MIN_LENGTH, anchor: int =
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
-    """``gone`` widened to all bytes of the UTF-8 characters it touches."""
-    char = np.cumsum((data & 0xC0) != 0x80) - 1
-    return np.bincount(char, weights=gone)[char] > 0
+def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal spans that intervals cover; intervals that touch are one."""
+    order = np.argsort(starts)
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]])
+    return starts[new], reach[np.r_[new[1:], len(starts)] - 1]
+
+
+def without(data: bytes, starts: list[int], ends: list[int], whole_characters: bool) -> bytes:
+    """``data`` without the spans, widened to whole UTF-8 characters if asked for."""
+    parts, at = [], 0
+    for a, b in zip(starts, ends):
+        if whole_characters:
+            while a and data[a] & 0xC0 == 0x80:
+                a -= 1
+            while b < len(data) and data[b] & 0xC0 == 0x80:
+                b += 1
+        parts.append(data[at:a])
+        at = b
+    parts.append(data[at:])
+    return b"".join(parts)
 
 
 def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_col: str, as_text: bool) -> DataFrame:
@@ -393,13 +410,10 @@ def _removed(docs: DataFrame, min_length: int, anchor: int, id_col: str, text_co
                     kept.append(data.decode("utf-8") if as_text else data)
                     continue
                 mine = slice(cuts[k], cuts[k + 1])
-                marks = np.bincount(at[mine], minlength=len(data) + 1).astype(np.int64)
-                marks -= np.bincount((at + n)[mine] + min_length - 1, minlength=len(data) + 1)
-                gone = np.cumsum(marks)[:-1] > 0
-                removed.append(int(gone.sum()))
-                spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
-                raw = np.frombuffer(data, dtype=np.uint8)
-                data = raw[~(_whole_characters(raw, gone) if as_text else gone)].tobytes()
+                first, last = union(at[mine], (at + n)[mine] + min_length - 1)
+                removed.append(int((last - first).sum()))
+                spans.append(len(first))
+                data = without(data, first.tolist(), last.tolist(), as_text)
                 kept.append(data.decode("utf-8") if as_text else data)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(2), *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),

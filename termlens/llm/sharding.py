@@ -91,15 +91,15 @@ def _key(salt: str, seed: int, *cols: Column) -> Column:
 
 def shuffle_into_shards(df: DataFrame, n_shards: int = 16, seed: int = 7, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``df`` with the columns ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in
-    its shard).  Input columns named like the two, or ``__part`` and ``__row``, are replaced."""
+    its shard).  Input columns named like the two are replaced; all others travel as one."""
     spark = df.sparkSession
-    place = F.monotonically_increasing_id()
-    rows = checkpoint(df.drop("shard", "slot").withColumn("__row", place)
+    names = [c for c in df.columns if c not in ("shard", "slot")]
+    data = F.struct(*[F.col(f"`{c}`") for c in names])
+    rows = checkpoint(df.select(data.alias("__data"), F.monotonically_increasing_id().alias("__row"))
                       .withColumn("__part", F.shiftright("__row", 33)))
     counts = sorted((r["__part"], r["n"]) for r in rows.groupBy("__part").agg(F.count("*").alias("n")).collect())
     if not counts:
-        return rows.drop("__row", "__part").withColumn("shard", F.lit(None).cast("int")).withColumn(
-            "slot", F.lit(None).cast("long"))
+        return rows.select("__data.*", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("long").alias("slot"))
     matrix = communication_matrix([n for _, n in counts], n_shards, seed)
     # one row per partition, n_shards cumulative counts: bounded by the number of input tasks
     ends = [(p, [sum(row[:s + 1]) for s in range(n_shards)]) for (p, _), row in zip(counts, matrix)]
@@ -123,6 +123,5 @@ def shuffle_into_shards(df: DataFrame, n_shards: int = 16, seed: int = 7, piece_
     return (
         sent.withColumn("__place", F.row_number().over(in_piece) - 1)
         .join(offsets, ["shard", "__piece"])
-        .withColumn("slot", (F.col("__offset") + F.col("__place")).cast("long"))
-        .drop("__row", "__part", "__key", "__piece", "__offset", "__place")
+        .select("__data.*", "shard", (F.col("__offset") + F.col("__place")).cast("long").alias("slot"))
     )

@@ -24,6 +24,7 @@ null; repeated rows are rows of one class; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -36,29 +37,43 @@ from pyspark.sql import functions as F
 from termlens.llm.common import checkpoint, expand, tidy
 
 SEED = 42
+BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 MAX_QUERIES = 8192
 CHUNK_ROWS, FRONTIER = 1 << 18, 1 << 21
 
 
+def word_parts(data: bytes, size: int = 1 << 18) -> Iterator[list[bytes]]:
+    """The words between ASCII white space, about ``size`` bytes of text at a time."""
+    at = 0
+    while at < len(data):
+        end = len(data)
+        if end - at > size:
+            blank = BLANK.search(data, at + size)
+            end = blank.start() if blank else end
+        yield data[at:end].split()
+        at = end
+
+
 def fingerprint(text: str | None, shingle: int) -> int:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # A-Z only; ASCII white space
-    n = len(words)
-    if not n:
-        return 0
-    data = b" ".join(words)
     hash64 = xxhash.xxh64_intdigest
-    if n <= shingle:
-        return hash64(data, SEED)
-    lengths = np.fromiter(map(len, words), dtype=np.int64, count=n)
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    hashes = np.array([hash64(data[a:b], SEED) for a, b in
-                       zip(starts[:n - shingle + 1].tolist(), ends[shingle - 1:].tolist())], dtype=np.uint64)
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at:at + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
+    ones, n_hashes, carried = np.zeros(64, dtype=np.int64), 0, []
+    for words in word_parts((text or "").encode("utf-8", "surrogatepass").lower()):  # A-Z only
+        words = carried + words
+        n = len(words)
+        if n >= shingle:
+            data = b" ".join(words)
+            lengths = np.fromiter(map(len, words), dtype=np.int64, count=n)
+            ends = np.cumsum(lengths + 1) - 1
+            starts = ends - lengths
+            hashes = np.array([hash64(data[a:b], SEED) for a, b in
+                               zip(starts[:n - shingle + 1].tolist(), ends[shingle - 1:].tolist())], dtype=np.uint64)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.int64)
+            n_hashes += len(hashes)
+        carried = words[max(0, n - shingle + 1):] if shingle > 1 else []
+    if not n_hashes:
+        return hash64(b" ".join(carried), SEED) if carried else 0
+    return int.from_bytes(np.packbits(2 * ones > n_hashes, bitorder="little").tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -250,11 +265,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
     chosen = found.groupBy("label").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k")
     ).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
-    keyed = docs.withColumn("__text_hash", F.xxhash64(F.col(text_col).cast("string")))
-    same = keyed[id_col].eqNullSafe(F.col("__id")) & (keyed["__text_hash"] == F.col("__hash"))
-    first = Window.partitionBy(id_col, "__text_hash").orderBy("__text_hash")
+    keyed = docs.select(F.col(id_col).alias("__doc"), F.xxhash64(F.col(text_col).cast("string")).alias("__text_hash"),
+                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__data"))
+    same = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    first = Window.partitionBy("__doc", "__text_hash").orderBy("__text_hash")
     return (
         keyed.join(checkpoint(chosen), same, "left_semi")
         .withColumn("__nth", F.row_number().over(first)).filter("__nth = 1")
-        .select(*docs.columns)
+        .select("__data.*")
     )

@@ -134,7 +134,8 @@ def test_hypergeometric_draws_follow_the_law():
 
 def test_shards_are_exact_and_gapless(spark):
     n = 1003
-    df = spark.range(n, numPartitions=5).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("slot"))
+    df = spark.range(n, numPartitions=5).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("x").alias("slot"),
+                                              F.lit("y").alias("__rank"), F.lit("z").alias("__key"))
     rows = sharding.shuffle_into_shards(df, 16, piece_rows=20).collect()
     assert len(rows) == n and sum(r["doc_id"] is None for r in rows) == 335
     shards = Counter(r["shard"] for r in rows)

@@ -50,6 +50,8 @@ def test_simhash_edge_rows(spark):
     got = sorted((r["doc_id"] or -1, r["component_id"]) for r in simhash.near_duplicates(df).collect())
     assert got == [(-1, 3), (3, 3), (4, 3), (5, 3), (7, 7), (7, 7), (8, 7), (9, 9)]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+    df = df.withColumn("__text_hash", F.lit("mine"))
+    assert simhash.keep_one(df).filter("__text_hash = 'mine'").count() == 3
     kept = sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect())
     assert kept == [(3, " \n"), (7, "One two"), (9, "É É É É")]
 

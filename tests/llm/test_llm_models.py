@@ -120,11 +120,11 @@ def test_viterbi_equals_dynamic_programming(model):
     rng = random.Random(4)
     words = (EN + DE + RU).split()
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 15))) for _ in range(60)]
-    w = langid.Words.of(texts)
-    scores, label = model.word_scores(w), model.label(w)
+    owner, _, _, scores = model.words_of(texts)
+    label = model.label(scores, owner)
     for t in range(len(texts)):
-        own = scores[:, w.owner == t].astype(float)
-        picked = label[w.owner == t]
+        own = scores[:, owner == t].astype(float)
+        picked = label[owner == t]
         n = own.shape[1]
         if not n:
             continue
@@ -135,6 +135,13 @@ def test_viterbi_equals_dynamic_programming(model):
         assert got == pytest.approx(best.max(), abs=0.05)
 
 
+def test_long_text_in_parts(model, monkeypatch):
+    whole = model.predict([EN * 30 + DE * 30, RU])
+    monkeypatch.setattr(langid, "text_parts", lambda text, parts=langid.text_parts: parts(text, 500))
+    lang, score, spans = model.predict([EN * 30 + DE * 30, RU])
+    assert (lang, spans) == (whole[0], whole[2]) and np.allclose(score, whole[1])
+
+
 def test_language_edge_rows(spark, model):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (2, "", "x"), (None, EN * 2000, "x"), (3, "№ 5", "x")],
                                "doc_id long, text string, score string")

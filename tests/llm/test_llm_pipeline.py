@@ -45,7 +45,7 @@ def test_language_stage(spark, stages):
     before, made = stages["language_id"]
     docs = spark.createDataFrame(list(before.values()))
     found = langid.identify(docs, langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))).collect()
-    assert {r["doc_id"] for r in made.collect()} == {r["doc_id"] for r in found if r["lang_pred"] != "und" and r["score"] >= 0.5}
+    assert {r["doc_id"] for r in made.collect()} == {r["doc_id"] for r in found if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.MIN_SHARE}
 
 
 def test_near_duplicate_stage_keeps_the_smallest_of_each_component(stages):

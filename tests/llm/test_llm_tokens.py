@@ -29,11 +29,19 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@pytest.fixture(autouse=True)
+def short_parts(monkeypatch):
+    """Long texts begin at 300 characters here, so that cutting them is tested too."""
+    whole = pretokens.text_parts
+    monkeypatch.setattr(pretokens, "text_parts", lambda text, size=300: whole(text, size))
+
+
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(11)
     out = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     out += ["".join(rng.choice(PARTS[:24]) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    out += ["".join(rng.choice(PARTS) for _ in range(2000)) for _ in range(60)]
     return out + ["a" * 5000, "ab" * 3000, "", " ", "'s", "x's 's", "<|endoftext|>"]
 
 
@@ -50,7 +58,7 @@ def test_merge_replay_equals_the_library(library, texts):
 def test_word_ids_equal_the_library(texts):
     words = packing.tokenizer(WORDS)
     coder = pretokens.WordCoder(words.encode_words)
-    for text, ids in zip(texts, coder.ids([packing.normal(t) for t in texts], False, words.slow, texts)):
+    for text, ids in zip(texts, coder.ids(texts, False, words.slow, packing.normal)):
         assert list(ids) == words.library.encode(text, add_special_tokens=False).ids, text
 
 
