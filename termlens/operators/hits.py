@@ -46,18 +46,30 @@ def offsets_by(hits: DataFrame, key: str, id_col: str = "doc_id") -> DataFrame:
 def group_offsets(hits: Column, key: str, order: str = "first") -> Column:
     """A10 on one document's sorted hit array: ``struct<keys, offsets>`` where
     ``offsets[i]`` lists (start, end) of ``keys[i]``.  ``order='first'``: keys by first
-    occurrence (raw mode); ``order='key'``: keys sorted (term-vector order)."""
-    def build(hv):
-        keys = F.array_distinct(F.transform(hv, lambda h: h[key]))
-        if order == "key":
-            keys = F.sort_array(keys)
-        return X.let(keys, lambda kv: F.struct(
-            kv.alias("keys"),
-            F.transform(kv, lambda k: F.transform(F.filter(hv, lambda h: h[key] == k),
-                                                  lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"))))
-            .alias("offsets")))
-
-    return X.let(hits, build)
+    occurrence (raw mode); ``order='key'``: keys sorted (term-vector order).
+
+    The hits are sorted by key and cut where it changes, so a long keyterm list costs no more
+    than sorting its hits."""
+    def cut(by_key):
+        heads = F.filter(F.sequence(F.lit(1), F.size(by_key)), lambda i: (i == 1) | (
+            F.element_at(by_key, i)["k"] != F.element_at(by_key, F.greatest(i - 1, F.lit(1)))["k"]))
+
+        def group(heads_, at, j):
+            end = F.when(j + 1 < F.size(heads_), F.element_at(heads_, F.least(j + 2, F.size(heads_)))).otherwise(
+                F.size(by_key) + 1)
+            own = F.slice(by_key, at, end - at)
+            return F.struct(F.element_at(own, 1)["start"].alias("first"), F.element_at(own, 1)["k"].alias("k"),
+                            F.transform(own, lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"))).alias("o"))
+
+        groups = X.let(heads, lambda hv: F.transform(hv, lambda at, j: group(hv, at, j)))
+        if order == "first":
+            groups = F.sort_array(groups)
+        return X.let(groups, lambda g: F.struct(F.transform(g, lambda x: x["k"]).alias("keys"),
+                                                F.transform(g, lambda x: x["o"]).alias("offsets")))
+
+    by_key = F.sort_array(F.transform(hits, lambda h: F.struct(
+        h[key].alias("k"), h["start"].alias("start"), h["end"].alias("end"))))
+    return F.when(F.size(hits) > 0, X.let(by_key, cut))
 
 
 def highlighted_text(text: Column, hits: Column) -> Column:
