@@ -27,8 +27,8 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 BASE = 0x9E3779B97F4A7C15
 LONG_WORD = 256
-TABLE = 1 << 21
-PART = 1 << 20
+TABLE = 1 << 20
+PART = 1 << 19
 BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -140,7 +140,7 @@ def word_hashes(joined: str, starts: np.ndarray, stops: np.ndarray) -> np.ndarra
     return out
 
 
-def text_parts(text: str, size: int = 1 << 20) -> Iterator[str]:
+def text_parts(text: str, size: int = PART) -> Iterator[str]:
     """The text cut into parts of about ``size`` characters, before single blanks between
     other characters: there a word of either rule begins."""
     at = 0
@@ -154,7 +154,7 @@ class WordCoder:
     """Ids of words, each distinct word of a block encoded once and remembered up to
     ``limit`` words.  ``encode(words) -> (flat ids, ids per word)`` does the work."""
 
-    def __init__(self, encode, limit: int = 1 << 20):
+    def __init__(self, encode, limit: int = 1 << 19):
         self.encode, self.limit = encode, limit
         self.hash = np.empty(0, np.uint64)
         self.at = self.size = np.empty(0, np.int64)

@@ -46,10 +46,10 @@ from termlens.llm.pretokens import powers
 
 MIN_LENGTH, ANCHOR = 100, 32
 SAMPLE_DOCS, HOT_CONTEXTS = 20_000, 16
-PLACE_BITS = 20
+PLACE_BITS = 19
 SEGMENT = 1 << (PLACE_BITS - 1)
-CHUNK_BYTES = 2 << 20
-SEEN_LIMIT = 1 << 22
+CHUNK_BYTES = 1 << 20
+SEEN_LIMIT = 1 << 20
 NONE_ID = -(1 << 63)
 
 
