@@ -9,9 +9,9 @@ all rows would then land in one task.  So hot keys are salted explicitly:
   keys sum to at most ``total``, so there are at most ``HOT_DENOMINATOR`` of them;
 * a hot key gets ``ceil(count * TARGET_TASKS / total)`` salts, its share of the tasks the
   join is meant to run in, so no task holds much more than ``total / TARGET_TASKS`` rows;
-* the list of hot keys that is broadcast holds two 64-bit hashes and the salt count per
-  key, 20 bytes a row whatever the keys are: at most ``HOT_DENOMINATOR`` rows of them
-  (two keys that share both hashes would share a salt count, on both sides alike);
+* the list of hot keys that is broadcast holds a 64-bit hash and the salt count per key,
+  12 bytes a row whatever the keys are, at most ``HOT_DENOMINATOR`` rows (a key that
+  shares a hot key's hash is salted like it, on both sides, which changes no result);
 * big-side rows of hot keys get ``salt = pmod(xxhash64(spread_col), salts)``;
 * aggregate-side rows of hot keys are copied once per salt value;
 * the join runs on ``(key, salt)``.  Cold keys keep salt 0 and are not copied.
@@ -29,20 +29,13 @@ HOT_DENOMINATOR = 10_000   # hot: count >= total / this  =>  at most this many h
 TARGET_TASKS = 10_000      # tasks the rows of a join should spread over evenly
 # ---------------------------------------------------------------------------------------
 
-_HASHES = ("_h1", "_h2")
-
-
-def _hashed(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumn("_h1", F.xxhash64(*keys)).withColumn("_h2", F.xxhash64(F.lit("salt"), *keys))
-
-
 def hot_keys(agg: DataFrame, keys: list[str], count_col: str, total: Column,
              denominator: int = HOT_DENOMINATOR, target_tasks: int = TARGET_TASKS) -> DataFrame:
-    """``(_h1, _h2, _salts)`` of the keys whose count is at least ``total / denominator``
+    """``(_hash, _salts)`` of the keys whose count is at least ``total / denominator``
     (at most ``denominator`` rows, since their counts sum to at most ``total``)."""
     hot = agg.where(F.col(count_col) * F.lit(denominator) >= total)
     salts = F.ceil(F.col(count_col) * F.lit(target_tasks) / total).cast("int")
-    return _hashed(hot, keys).groupBy(*_HASHES).agg(F.max(salts).alias("_salts"))
+    return hot.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.max(salts).alias("_salts"))
 
 
 def salted_join(big: DataFrame, agg: DataFrame, keys: list[str], count_col: str, total: Column,
@@ -55,9 +48,8 @@ def salted_join(big: DataFrame, agg: DataFrame, keys: list[str], count_col: str,
     id).  The broadcast list of hot keys is bounded by ``denominator`` rows."""
     hot = F.broadcast(hot_keys(agg, keys, count_col, total, denominator, target_tasks))
     salts = F.coalesce("_salts", F.lit(1))
-    b = _hashed(big, keys).join(hot, list(_HASHES), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_col), salts).cast("int"))
-    a = _hashed(agg, keys).join(hot, list(_HASHES), "left").withColumn(
+    b = big.withColumn("_hash", F.xxhash64(*keys)).join(hot, "_hash", "left").withColumn(
+        "_salt", F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(spread_col), "_salts").cast("int")).otherwise(F.lit(0)))
+    a = agg.withColumn("_hash", F.xxhash64(*keys)).join(hot, "_hash", "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    extra = [*_HASHES, "_salts"]
-    return b.drop(*extra).join(a.drop(*extra), keys + ["_salt"], how).drop("_salt")
+    return b.drop("_hash", "_salts").join(a.drop("_hash", "_salts"), keys + ["_salt"], how).drop("_salt")

@@ -149,12 +149,11 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     n = n.cast("double")
     sizes = fdocs.groupBy(group_col).agg(F.count(F.lit(1)).cast("bigint").alias("fg_n"))
     # a common term has a row per group, and a few groups may hold most rows: the term join is
-    # salted by the background counts, and the sizes (one row per group) ride on a salted
-    # join too, spread over the terms of a group
+    # salted by the background counts, the join with the sizes (one row per group) by the
+    # documents of a group, spread over its terms
     total = bg.select(F.sum("bg_count")).scalar()
     j = SK.salted_join(fg, bg, ["term"], "bg_count", total, group_col)
-    per_group = fg.groupBy(group_col).agg(F.count(F.lit(1)).alias("_terms")).join(sizes, group_col)
-    j = SK.salted_join(j, per_group, [group_col], "_terms", per_group.select(F.sum("_terms")).scalar(), "term")
+    j = SK.salted_join(j, sizes, [group_col], "fg_n", sizes.select(F.sum("fg_n")).scalar(), "term")
     fgc, bgc, fgn = (F.col(c).cast("double") for c in ("fg_count", "bg_count", "fg_n"))
     j = j.where(fgc * n > bgc * fgn)
     if heuristic == "lift":
@@ -170,4 +169,4 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     w = Window.partitionBy(group_col).orderBy(F.col("_rs").desc(), F.col("term"))
     return (j.withColumn("score", score).withColumn("_rs", F.round("score", 9))
             .withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .where(F.col("rank") <= size).drop("_rs", "_terms"))
+            .where(F.col("rank") <= size).drop("_rs"))
