@@ -39,15 +39,30 @@ from termlens.llm.pretokens import WordCoder
 CAPACITY, END_ID = 2048, 0
 
 
+class WholeText:
+    """Ids of a text by the library itself.  It also matches the file's added tokens inside a
+    text; ``literals`` are what a text then holds, as written or in normal form."""
+
+    def __init__(self, library):
+        self.library = library
+        tokens = [t.content for t in library.get_added_tokens_decoder().values()]
+        if any(c.isspace() for t in tokens for c in t):
+            raise ValueError("an added token holds white space, where long texts are cut")
+        self.literals = sorted({*tokens, *map(normal, tokens)})
+
+    def __call__(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+
 class WordTokenizer:
     """A tokenizer file whose words end in ``</w>``: distinct words are encoded by the library,
-    many at a time, and a text's ids are those of its words."""
+    many at a time, and a text's ids are those of its words, unless it takes ``slow``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.slow = WholeText(self.library)
         vocab = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -61,9 +76,6 @@ class WordTokenizer:
             raise ValueError("the vocabulary does not mark the ends of words")
         return flat, np.diff(np.r_[0, stops])
 
-    def slow(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:

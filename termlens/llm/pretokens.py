@@ -162,8 +162,8 @@ class WordCoder:
 
     def ids(self, texts: Sequence[str], spaced: bool, slow, normal=None) -> list[np.ndarray]:
         """The ids of every text, normalised by ``normal`` first; ``slow(text)`` serves texts the
-        tables are not sure of.  Long texts are coded in parts, about ``PART`` characters
-        together."""
+        tables are not sure of and texts that hold one of ``slow.literals``, if it has any.  Long
+        texts are coded in parts, about ``PART`` characters together."""
         parts = [list(text_parts(t)) for t in texts]
         flat = [p for own in parts for p in own]
         size = np.cumsum([len(p) for p in flat])
@@ -177,7 +177,10 @@ class WordCoder:
 
     def _ids(self, raw: Sequence[str], spaced: bool, slow, normal) -> list[np.ndarray]:
         texts = [normal(t) for t in raw] if normal else raw
-        joined, starts, stops, owner, sure = cut(texts, spaced)
+        literals = getattr(slow, "literals", ())
+        held = np.array([any(x in t or x in r for x in literals) for t, r in zip(texts, raw)], bool)
+        joined, starts, stops, owner, sure = cut(["" if h else t for t, h in zip(texts, held)], spaced)
+        sure &= ~held
         hashes = word_hashes(joined, starts, stops)
         distinct, lead, back = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.searchsorted(self.hash, distinct)

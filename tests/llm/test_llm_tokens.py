@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 from termlens.llm import bpe, packing, pretokens
 from termlens.llm.queries import QUERIES
@@ -62,6 +63,23 @@ def test_word_ids_equal_the_library(texts):
         assert list(ids) == words.library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_inside_a_text_equal_a_fresh_library(spark):
+    fresh = Tokenizer.from_file(WORDS)
+    assert fresh.encode("end <|endoftext|> of", add_special_tokens=False).ids == [806, 49407, 539]
+    literals = ["<|endoftext|>", "<|startoftext|>"]
+    texts = [t.replace("@", x) for x in literals for t in (
+        "end @ of", "@", "a@b", "@@ @", "it's @'s", "e@\u0301", "some words " * 200 + "@ and " + "more words " * 200)]
+    texts += ["<|ENDOFTEXT|> x", "<|endoftext |>", "<| endoftext|>", "<|endof text|>", "plain text", ""]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    words = packing.tokenizer(WORDS)
+    coder = pretokens.WordCoder(words.encode_words)
+    got = coder.ids(texts, False, words.slow, packing.normal)
+    assert [list(ids) for ids in got] == want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(df, WORDS, 2048, with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {k: ids + [0] for k, ids in enumerate(want)}
+
+
 def test_bpe_query_on_whole_texts(spark, library):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     got = QUERIES["op4_byte_bpe"](spark, SF).collect()
