@@ -8,8 +8,8 @@ the number of pieces:
 1. Reduction.  Going down the lengths, a set that provably dominates every other set holding
    the longest remaining piece is fixed: the piece alone if nothing fits beside it; the piece
    and one that fills the sequence exactly; the piece and the longest that fits, if no two
-   others fit together or none of the fitting pairs is longer; and the piece with the best pair, if no
-   three others fit and every fitting single and pair is dominated by that pair.
+   others fit together, or no three and none of the fitting pairs is longer; and the piece with
+   the best pair, if no three others fit and every fitting single and pair is dominated by that pair.
 2. Best fit, longest first, of what is left: each piece goes to the fullest sequence that has
    room.  Equal pieces and equal sequences are handled together, with their multiplicity.
 
@@ -187,16 +187,16 @@ def reduce_histogram(histogram: dict[int, int], capacity: int) -> tuple[list[tup
             stock.take(longest, 1)  # look at what else there is
             single = stock.longest_up_to(room)
             small = stock.smallest(3)
+            triples = len(small) == 3 and sum(small) <= room
             pair = stock.best_pair(room) if len(small) > 1 and sum(small[:2]) <= room else (0, 0)
             stock.count[longest] = stock.count.get(longest, 0) + 1
             if longest not in stock.lengths:
                 stock.lengths.insert(bisect_left(stock.lengths, longest), longest)
             if not single:
                 fix((longest,))
-            elif single == room or not sum(pair) or single >= sum(pair):
+            elif single == room or not sum(pair) or (not triples and single >= sum(pair)):
                 fix((longest, single))
-            elif sum(pair) == room and len(small) == 3 and sum(small) > room and single <= pair[0] and _dominates(
-                    stock, longest, pair, room):
+            elif sum(pair) == room and not triples and single <= pair[0] and _dominates(stock, longest, pair, room):
                 fix((longest, *pair))
             else:
                 break
@@ -207,7 +207,9 @@ def _dominates(stock: Stock, longest: int, pair: tuple[int, int], room: int) ->
     """Whether every fitting pair has its longer part within pair[0] and its shorter in pair[1]."""
     for a in stock.lengths:
         b = stock.longest_up_to(min(a, room - a))
-        if b and (b < a or stock.count[a] > 1 + (a == longest)) and (a > pair[0] or b > pair[1]):
+        if b == a and stock.count[a] <= 1 + (a == longest):  # no second one: the next shorter
+            b = stock.longest_up_to(a - 1)
+        if b and (a > pair[0] or b > pair[1]):
             return False
     return True
 

@@ -175,6 +175,23 @@ def test_reduction_never_costs_a_sequence():
         assert sum(t for t, _ in fixed) + fewest(rest, capacity) == fewest(items, capacity), (capacity, items, fixed)
 
 
+def reduced(items, capacity):
+    """Sequences of the fixed sets and the fewest for the rest."""
+    fixed, left = packing.reduce_histogram({x: items.count(x) for x in set(items)}, capacity)
+    return sum(t for t, _ in fixed) + fewest([x for x, n in left.items() for _ in range(n)], capacity)
+
+
+def test_reduction_looks_at_triples_and_shorter_partners():
+    assert reduced([10, 8, 8, 4, 3, 3, 3], 20) == fewest([10, 8, 8, 4, 3, 3, 3], 20) == 2
+    assert not packing._dominates(packing.Stock({12: 1, 6: 1, 4: 1, 3: 1, 2: 1}), 12, (6, 2), 8)
+    assert packing._dominates(packing.Stock({12: 1, 6: 1, 4: 1, 2: 1}), 12, (6, 2), 8)
+    rng = random.Random(5)
+    for _ in range(300):
+        capacity = rng.choice([20, 26])
+        items = [rng.randint(2, capacity // 2 + 2) for _ in range(rng.randint(5, 11))]
+        assert reduced(items, capacity) == fewest(items, capacity), (capacity, items)
+
+
 def naive_best_fit(items, capacity):
     rooms = []
     for x in sorted(items, reverse=True):
