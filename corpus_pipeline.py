@@ -34,7 +34,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or without a language of ``MIN_SHARE`` of their letters, go."""
+    """Documents without a letter, without a language of ``MIN_SHARE`` of their letters, or with
+    most letters in scripts no learned language uses, go."""
     return langid.keep_identified(docs.select(*COLUMNS), min_score=MIN_SHARE)
 
 

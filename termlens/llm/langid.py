@@ -205,6 +205,20 @@ class Model:
             found.append((of[a:b][w.owner], w.start + shift[a:b][w.owner], w.stop + shift[a:b][w.owner], self.word_scores(w)))
         return tuple(np.concatenate(x, axis=-1) for x in zip(*found))
 
+    def mostly_unknown(self, texts: list[str]) -> np.ndarray:
+        """Whether more than half of a text's letters lie in scripts no learned language uses."""
+        letters, scripts = letter_tables()
+        unknown = ~self.scripts.any(axis=0)[scripts] & letters
+        out = np.zeros(len(texts), bool)
+        for k, text in enumerate(texts):
+            strange = total = 0
+            for part in text_parts(text.lower()):
+                points = np.minimum(np.frombuffer(part.encode("utf-32-le"), dtype=np.uint32), len(letters) - 1)
+                strange += int(unknown[points].sum())
+                total += int(letters[points].sum())
+            out[k] = 2 * strange > total
+        return out
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[dict]]]:
         """(language, score, spans) of every text; a long text's words are scored in parts."""
         if not self.languages:
@@ -303,15 +317,19 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows whose text has a language holding at least ``min_score`` of its letters, with
-    all columns of ``docs``; learned from the rows not held out."""
+    """The rows whose text has a language holding at least ``min_score`` of its letters, and at
+    most half of them in scripts no learned language uses, with all columns of ``docs``; learned
+    from the rows not held out."""
     model = train(docs.filter(~held_out(F.col(id_col))), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col):
-            lang, score, _ = shared.value.predict(_texts(block.column(at)))
-            yield block.filter(pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)]))
+            texts = _texts(block.column(at))
+            lang, score, _ = shared.value.predict(texts)
+            strange = shared.value.mostly_unknown(texts)
+            yield block.filter(pa.array([k != UNKNOWN and s >= min_score and not x
+                                         for k, s, x in zip(lang, score, strange.tolist())], pa.bool_()))
 
     return docs.mapInArrow(tidy(run), docs.schema)

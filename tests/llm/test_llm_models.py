@@ -107,6 +107,19 @@ def model(spark):
     return langid.train(spark.createDataFrame(rows, "text string, lang string"))
 
 
+def test_texts_mostly_in_unlearned_scripts_go(spark):
+    import zlib
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1]  # learned from
+    apart = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 == 1]
+    texts = [EN, RU, EN * 2 + RU, EN + RU * 2, "中文" * 20, "中文 " + DE, "123", "ÀÉ " + EN]
+    rows = [(ids[0], EN * 3, "en"), (ids[1], DE * 3, "de")] + [(k, t, None) for k, t in zip(apart, texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["text"] for r in langid.keep_identified(df, 0.3).collect()}
+    assert kept == {EN * 3, DE * 3, EN, EN * 2 + RU, "中文 " + DE, "ÀÉ " + EN}
+    russian = df.unionByName(spark.createDataFrame([(ids[2], RU, "ru")], df.schema))
+    assert {RU, EN + RU * 2} <= {r["text"] for r in langid.keep_identified(russian, 0.3).collect()}
+
+
 def test_mixed_text_gets_spans(model):
     text = EN + DE + RU + EN
     lang, score, spans = model.predict([text, RU, "", "123 !", DE * 3])
