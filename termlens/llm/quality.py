@@ -1,12 +1,11 @@
 """Quality rules: an isolation forest on rule statistics.
 
 1. ``rule_statistics`` counts, over every whole text, what quality rules look at.
-2. ``fit`` grows isolation forests on a bounded sample of the statistics (about
-   ``SAMPLE_ROWS`` rows, drawn evenly by place in the checkpointed statistics; ``N_TREES``
-   trees of ``SUBSAMPLE`` rows): random feature, random split value, short paths mark what is
-   easy to set apart.  One forest takes
-   all rates together, one more each rate alone (``VIEWS``): what is rare in a harmless rate
-   must not hide what is rare in a telling one.
+2. ``fit`` grows isolation forests of ``N_TREES`` trees, each on ``SUBSAMPLE`` rows drawn from
+   all rows that pass the base rules by a hash of the row and the tree's number, whatever the
+   input's partitions: random feature, random split value, short paths mark what is easy to set
+   apart.  One forest takes all rates together, one more each rate alone (``VIEWS``): what is
+   rare in a harmless rate must not hide what is rare in a telling one.
 3. The thresholds are calibrated from all labelled rows, one forest after the other: of all
    cuts that reject at most ``MAX_CLEAN_LOSS`` of the good rows, the one with the best
    difference of rejection rates is taken, then the next on the rows not rejected so far,
@@ -16,12 +15,12 @@
 
 Defined results: null or blank text has no words and fails the base rule; without usable
 labels only the forest of all rates rejects, above ``DEFAULT_CUT``; a document labelled twice counts with its lowest
-label; rows repeating an id are judged row by row; an empty table gives no rows.
+label; rows repeating an id are judged row by row, rows alike in id and counts are drawn as one; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termlens.llm.common import checkpoint, tidy
+from termlens.llm.common import checkpoint, mix, tidy
 from termlens.llm.simhash import word_parts
 
-SAMPLE_ROWS, N_TREES, SUBSAMPLE, SEED = 8192, 128, 256, 17
+N_TREES, SUBSAMPLE, SEED = 128, 256, 17
 BINS, MAX_CLEAN_LOSS, MIN_GAIN, DEFAULT_CUT = 1000, 0.001, 0.02, 0.75
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+PASSED = f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words"
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_distinct", "n_upper", "n_digits")
@@ -136,11 +136,17 @@ class Forest:
     def fit(rows: np.ndarray, n_trees: int = N_TREES, subsample: int = SUBSAMPLE, seed: int = SEED) -> Forest:
         rng = np.random.default_rng(seed)
         size = min(subsample, len(rows))
+        draws = (rows[rng.choice(len(rows), size, replace=False)] for _ in range(n_trees if size else 0))
+        return Forest.grow(draws, size, rng)
+
+    @staticmethod
+    def grow(draws: Iterable[np.ndarray], size: int, rng: np.random.Generator) -> Forest:
+        """One tree on each of the draws of ``size`` rows."""
         forest = Forest([], [], [], [], size)
         limit = int(np.ceil(np.log2(max(size, 2))))
-        for _ in range(n_trees if size else 0):
+        for rows in draws:
             nodes: list[list] = [[-1, 0.0, 0, 0.0]]
-            todo = [(0, rows[rng.choice(len(rows), size, replace=False)], 0)]
+            todo = [(0, rows, 0)]
             while todo:
                 at, part, depth = todo.pop()
                 low, high = part.min(axis=0), part.max(axis=0)
@@ -161,7 +167,7 @@ class Forest:
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         """Anomaly score in (0, 1): 2 to the power of minus mean path over expected path."""
-        if not self.feature or not len(rows):
+        if not self.feature or not len(rows) or self.subsample < 2:  # one row sets nothing apart
             return np.full(len(rows), 0.5)
         total = np.zeros(len(rows))
         at_rows = np.arange(len(rows))
@@ -239,18 +245,44 @@ def _histogram(marked: DataFrame, model: Model) -> np.ndarray:
     return total
 
 
+def draw(stats: DataFrame) -> list[np.ndarray]:
+    """The counts each tree grows on: of all rows that pass the base rules the ``SUBSAMPLE`` whose
+    hash with the tree's number is smallest.  Tasks pass on what lies below a bound that about
+    twice as many rows meet; the driver sees 2 * N_TREES * SUBSAMPLE rows."""
+    rows = stats.filter(PASSED).select(F.xxhash64("doc_id", *COUNTS).alias("key"), *COUNTS)
+    n = rows.agg(F.approx_count_distinct("key", 0.02).alias("n")).first()["n"]
+    bound = np.uint64(min(2 * SUBSAMPLE / max(1, n), 1.0) * ((1 << 63) - 1024))
+    trees = mix(np.arange(1, N_TREES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(SEED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).to_numpy().view(np.uint64)
+            for k, own in enumerate(trees):
+                rank = mix(key ^ own) >> np.uint64(1)
+                at = np.flatnonzero(rank <= bound)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), k, np.int64)), pa.array(rank[at].view(np.int64)),
+                         *(c.take(pa.array(at)) for c in batch.columns[1:])], names=["tree", "rank", *COUNTS])
+
+    drawn = rows.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in ("tree", "rank", *COUNTS))).distinct().toArrow()
+    table = np.column_stack([c.to_numpy() for c in drawn.columns])
+    table = table[np.lexsort(table.T[::-1])]
+    parts = np.split(table[:, 2:], np.searchsorted(table[:, 0], np.arange(1, N_TREES)))
+    return [p[:SUBSAMPLE] for p in parts if len(p)]
+
+
 def fit(stats: DataFrame, labels: DataFrame | None) -> Model:
     """The forests, and their cuts calibrated on every labelled row."""
-    share = min(1.0, SAMPLE_ROWS / max(1, stats.count()))
-    sample = stats.filter(F.rand(SEED) < share).select(*COUNTS).collect()  # about SAMPLE_ROWS
-    rows = np.array([tuple(r) for r in sample], dtype=np.int64).reshape(-1, len(COUNTS))
-    rates = features(rows[~failed_base(rows)])
-    model = Model([Forest.fit(rates[:, view]) for view in VIEWS], [DEFAULT_CUT] + [2.0] * (len(VIEWS) - 1))
+    draws = [features(rows) for rows in draw(stats)]
+    size = max(map(len, draws), default=0)
+    model = Model([Forest.grow([d[:, view] for d in draws], size, np.random.default_rng(SEED)) for view in VIEWS],
+                  [DEFAULT_CUT] + [2.0] * (len(VIEWS) - 1))
     if labels is None:
         return model
     marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         (F.min("quality") > 0).alias("good"))
-    marked = (stats.filter(f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {MAX_REPEAT_PERCENT} * n_words")
+    marked = (stats.filter(PASSED)
               .select("doc_id", *COUNTS).join(marks, "doc_id"))
     cuts, total = [2.0] * len(VIEWS), None
     for _ in VIEWS:

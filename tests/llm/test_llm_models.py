@@ -59,6 +59,19 @@ def test_quality_edge_rows(spark):
     assert quality.keep_good(df, None).columns == df.columns and quality.keep_good(df, None).count() == 2
 
 
+def test_trees_draw_from_all_rows_whatever_the_partitions(spark):
+    counts = {c: F.col("id") % (7 + k) + 100 for k, c in enumerate(quality.COUNTS)}
+    stats = spark.range(40000).select(F.col("id").alias("doc_id"), *[v.alias(c) for c, v in counts.items()])
+    stats = stats.withColumn("n_repeat_words", F.lit(0).cast("long")).withColumn("word_chars", F.col("doc_id") + 100)
+    draws = quality.draw(stats)
+    assert [len(d) for d in draws] == [quality.SUBSAMPLE] * quality.N_TREES
+    assert len({r for d in draws for r in d[:, 1].tolist()}) > 20000  # chars tell the rows apart
+    for other in (stats.repartition(7), stats.union(stats.limit(1)).repartition(3)):  # a repeated row counts once
+        assert all(np.array_equal(a, b) for a, b in zip(draws, quality.draw(other)))
+    few = quality.draw(stats.limit(30))
+    assert [len(d) for d in few] == [30] * quality.N_TREES and quality.draw(stats.limit(0)) == []
+
+
 def test_forest_paths_are_short_for_what_is_apart():
     rng = np.random.default_rng(3)
     rows = np.r_[rng.normal(0, 1, (500, 3)), [[9, 9, 9]]]
