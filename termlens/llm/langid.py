@@ -1,7 +1,8 @@
 """Language identification: scripts narrow, words score, Viterbi labels spans.
 
 Training counts hashed character n-grams (1 to 3, with word edges) per language over a bounded
-sample of labelled rows: about ``TRAIN_ROWS`` of each language, chosen by a hash of the text.
+sample of the distinct labelled texts: about ``TRAIN_ROWS`` of each language, chosen by a hash
+of the text; copies count once.
 The model is one table of log probabilities per language and bucket, and the share of each
 script in a language's letters.
 
@@ -250,16 +251,17 @@ def _texts(column: pa.Array) -> list[str]:
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from the text and the label of rows whose label is not null.  The sample takes the
-    same expected number of rows of every language, by a hash of the text alone."""
+    same expected number of distinct texts of every language, by a hash of the text alone."""
     text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
     rows = labelled.select(text.alias("text"), lang.alias("lang")).filter("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+             .groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, len(SCRIPT_NAMES)), bool))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, TRAIN_ROWS / sizes[k]))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = rows.filter(draw < share[F.col("lang")])
+    sample = rows.filter(draw < share[F.col("lang")]).distinct()  # copies meet in the map tasks first
     index = {k: i for i, k in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

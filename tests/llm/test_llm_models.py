@@ -120,6 +120,13 @@ def model(spark):
     return langid.train(spark.createDataFrame(rows, "text string, lang string"))
 
 
+def test_copies_of_a_text_are_learned_once(spark):
+    rows = [(f"{EN} {k}", "en") for k in range(5)] + [(f"{DE} anders{k}", "de") for k in range(5)]
+    once = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    copied = langid.train(spark.createDataFrame(rows + [rows[0]] * 500, "text string, lang string"))
+    assert np.array_equal(once.table, copied.table) and np.array_equal(once.scripts, copied.scripts)
+
+
 def test_texts_mostly_in_unlearned_scripts_go(spark):
     import zlib
     ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 3 != 1]  # learned from
