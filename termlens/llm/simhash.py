@@ -129,7 +129,8 @@ class Forest:
     def search(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query, node) of members within the radius, some at a time."""
         cost = np.cumsum(self.size[queries])
-        cuts = np.searchsorted(cost, np.arange(0, int(cost[-1]) + FRONTIER, FRONTIER)) if len(queries) else [0]
+        total = int(cost[-1]) if len(queries) else 0
+        cuts = [*np.searchsorted(cost, np.arange(0, total, FRONTIER)).tolist(), len(queries)]
         for a, b in zip(cuts, cuts[1:]):
             q = queries[a:b]
             node = self.root[q]

@@ -206,3 +206,12 @@ def test_previous_factors_equal_brute_force():
             want.append(data[p:p + length] in seen)
             seen.add(data[p:p + length])
         assert got.tolist() == want
+
+
+def test_queries_that_fill_the_frontier_are_all_searched(monkeypatch):
+    fp = np.arange(4, dtype=np.uint64)
+    for frontier in (4, 8, 16, 5, 7):  # one tree of four: costs 4, 8, 12, 16
+        monkeypatch.setattr(simhash, "FRONTIER", frontier)
+        found = [pair for q, node in simhash.Forest(np.zeros(4, np.int64), fp).search(np.arange(4), 64)
+                 for pair in zip(q.tolist(), node.tolist())]
+        assert sorted(found) == [(a, b) for a in range(4) for b in range(4) if a != b]
