@@ -82,6 +82,9 @@ def drop_duplicate_passages(tokens: DataFrame, group_col: str, shingle: int = 6,
     so a passage repeated in a third of all documents is one row per map task), joined back
     once, salted.  A window over the document's positions then decides: a token goes if a
     passage starting on it or up to ``shingle - 1`` before it is a copy and none is kept.
+
+    A null group is no group: like the SQL twin's join, the owner join matches no null, so
+    the tokens of documents with a null group all stay, copies included.
     """
     w = Window.partitionBy(group_col, id_col).orderBy("position")
     ahead = [F.lead("term", i).over(w) for i in range(1, shingle)]
@@ -130,6 +133,10 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     ``shard_size`` best documents of each group by ``sample_score``, ties by id) and have its
     repeated passages removed before counting (A6, ``filter_duplicate_text``).  The
     background is always the whole collection.
+
+    A null group is no group: like the SQL twin's join, the join with the sizes matches no
+    null, so such documents count in the background but get no terms (``foreground`` does
+    count them).
     """
     fdocs = docs.where(F.col(text_col).isNotNull())
     if shard_size is not None and shard_size >= 0:
