@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import bpe, chat, langid, packing, quality, repeats, sharding, simhash, topk, urlfilter
+from termlens.llm import (bpe, chat, langid, licenses, packing, quality, repeats, sharding, simhash, topk, urlfilter)
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -83,6 +83,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score", F.size("spans").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_formatting": op2_chat_formatting,
@@ -94,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op13_license_scan": op13_license_scan,
 }
