@@ -85,4 +85,43 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLE = {"op2_chat_formatting": OP2, "op3_suffix_dedup": OP3, "op5_url_filter": OP5, "op6_exact_topk": OP6}
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), v AS (
+  SELECT lang, count(*) AS width, sum(n)::BIGINT AS total FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), gn AS (
+  SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source
+), p AS (
+  SELECT gn.lang, gn.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 1) // (gn.total + v.width) AS p,
+    1 + 1000000000 * (k.n + 1) // (v.total + v.width) AS q
+  FROM gn JOIN v USING (lang) JOIN k USING (lang)
+  LEFT JOIN c ON c.lang = gn.lang AND c.source = gn.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE = {"op2_chat_formatting": OP2, "op3_suffix_dedup": OP3, "op5_url_filter": OP5, "op6_exact_topk": OP6,
+          "op11_source_divergence": OP11}

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlens.llm import (bpe, chat, langid, licenses, packing, quality, repeats, sharding, simhash, topk, urlfilter)
+from termlens.llm import (
+    bpe, chat, divergence, langid, licenses, packing, quality, repeats, sharding, simhash, topk, urlfilter)
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -83,6 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -101,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op11_source_divergence": op11_source_divergence,
     "op13_license_scan": op13_license_scan,
 }
