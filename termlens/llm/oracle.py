@@ -123,5 +123,52 @@ SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
 WHERE part = 'pair' OR rank <= 200
 """
 
+OP12 = r"""
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS steps
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+      lambda x, y: xor(x >> 8, steps[(xor(x, y) & 255) + 1]))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), crc
+), lent AS (
+  SELECT c.conv_id, o.i AS pos, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.i <= c.h
+), k AS (
+  SELECT c.conv_id, c.h, count(l.pos) AS k FROM c LEFT JOIN lent l USING (conv_id) GROUP BY c.conv_id, c.h
+), r AS (
+  SELECT * FROM lent
+  UNION ALL SELECT conv_id, k + i - h, role, text FROM o JOIN k USING (conv_id) WHERE i > h
+), pre AS (
+  SELECT conv_id, pos AS depth,
+    md5(string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY pos)) AS key,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c
+), l AS (
+  SELECT conv_id, max(depth) AS depth FROM pre GROUP BY conv_id
+), n AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM pre GROUP BY depth, key
+), e AS (
+  SELECT depth, key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+  FROM pre JOIN l USING (conv_id, depth) GROUP BY depth, key
+), p AS (
+  SELECT n.*, u.key AS up FROM n LEFT JOIN pre u ON u.conv_id = n.conv_id AND u.depth = n.depth - 1
+), kids AS (
+  SELECT depth - 1 AS depth, up AS key, count(*) AS n FROM p WHERE depth > 0 GROUP BY ALL
+), own AS (
+  SELECT p.*, coalesce(kids.n, 0) AS n_children FROM p LEFT JOIN kids USING (depth, key)
+), s AS (
+  SELECT a.depth, a.key, count(*) FILTER (own.n_children = 0) AS n_leaves, sum((own.n_convs - 1) * own.words) AS saved_tokens
+  FROM own JOIN pre a ON a.conv_id = own.conv_id AND a.depth <= own.depth GROUP BY a.depth, a.key
+)
+SELECT own.conv_id, own.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, own.n_convs, own.n_children::BIGINT AS n_children,
+  s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM own JOIN s USING (depth, key) LEFT JOIN e USING (depth, key) LEFT JOIN n q ON q.depth = own.depth - 1 AND q.key = own.up
+"""
+
 ORACLE = {"op2_chat_formatting": OP2, "op3_suffix_dedup": OP3, "op5_url_filter": OP5, "op6_exact_topk": OP6,
-          "op11_source_divergence": OP11}
+          "op11_source_divergence": OP11,
+          "op12_prefix_trie": OP12}

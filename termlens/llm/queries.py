@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlens.llm import (
-    bpe, chat, divergence, langid, licenses, packing, quality, repeats, sharding, simhash, topk, urlfilter)
+    bpe, chat, divergence, langid, licenses, packing, prefixtrie, quality, repeats, sharding, simhash, topk, urlfilter)
 
 URL_RULES = (
     urlfilter.Rule("allow", "org", "/"),
@@ -88,6 +88,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.numbered(_table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie(*prefixtrie.rebuilt(turns))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -107,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
     "op11_source_divergence": op11_source_divergence,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_license_scan": op13_license_scan,
 }
