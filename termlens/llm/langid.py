@@ -2,9 +2,10 @@
 
 Training counts hashed character n-grams (1 to 3, with word edges) per language over a bounded
 sample of the distinct labelled texts: about ``TRAIN_ROWS`` of each language, chosen by a hash
-of the text; copies count once.
-The model is one table of log probabilities per language and bucket, and the share of each
-script in a language's letters.
+of the text; copies count once.  The ``MAX_LANGUAGES`` languages with most distinct texts are learned
+(ties: the name that sorts first), so dirty labels do not grow the model.
+The model is one table of log probabilities per language and bucket, the share of each
+script in a language's letters, and the mean log probability of each language's own n-grams.
 
 Prediction cuts a text into words (runs of letters).  A word's candidates are the languages
 that use its script; its score for each is the mean log probability of its n-grams, times the square
@@ -18,7 +19,9 @@ by one word at a time.
 Defined results: a null text, or one without letters, is ``und`` with score 0; ties go to the
 language that sorts first; without training rows every text is ``und``; null labels are not
 learned; repeated rows are predicted row by row; the label, source and id are never read when
-predicting.
+predicting; an empty table gives no rows.  A very long text is scored in parts and labelled by one
+pass over all its words; ``identify`` reads no columns but its own, and ``keep_identified`` hands on
+all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +39,10 @@ from pyspark.sql import types as T
 from termlens.llm.common import blocks, expand, tidy
 from termlens.llm.pretokens import PART, text_parts
 
-BUCKETS, TRAIN_ROWS, SWITCH, SMOOTH, MIN_SCRIPT = 1 << 16, 2000, 6.0, 0.5, 0.01
+BUCKETS, TRAIN_ROWS, MAX_LANGUAGES, SWITCH, SMOOTH, MIN_SCRIPT = 1 << 16, 2000, 512, 6.0, 0.5, 0.01
+#: A text of ``MIN_LETTERS`` letters or more is foreign if its n-grams are on average ``exp(MAX_LOSS)`` times
+#: less likely than the n-grams of its languages' own training texts.
+MIN_LETTERS, MAX_LOSS = 50, 2.0
 UNKNOWN = "und"
 # fixed values: first and last code points of the scripts told apart; all other letters are one more
 SCRIPTS = (
@@ -52,7 +58,7 @@ SCRIPT_NAMES = tuple(dict.fromkeys(["other", *(name for name, _, _ in SCRIPTS)])
 @lru_cache(maxsize=1)
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
     """(is a letter, script) of each code point."""
-    letters = np.array([chr(p).isalpha() for p in range(0x30000)] + [False])
+    letters = np.array([chr(p).isalpha() for p in range(0x40000)] + [False])
     script = np.zeros(len(letters), np.int8)
     for name, low, high in SCRIPTS:
         script[low:high + 1] = SCRIPT_NAMES.index(name)
@@ -110,6 +116,7 @@ class Model:
     languages: list[str]
     table: np.ndarray  # language x bucket: log probability
     scripts: np.ndarray  # language x script: whether the language uses it
+    own: np.ndarray  # language: mean log probability of an n-gram of its training texts
 
     def word_scores(self, words: Words) -> np.ndarray:
         """Language x word; a language that does not use the word's script is out unless no
@@ -222,14 +229,23 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[dict]]]:
         """(language, score, spans) of every text; a long text's words are scored in parts."""
+        return self.judge(texts)[:3]
+
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[dict]], np.ndarray]:
+        """As ``predict``, and whether the text is foreign to the languages it is labelled with."""
+        nothing = np.zeros(len(texts))
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+            return [UNKNOWN] * len(texts), nothing, [[] for _ in texts], nothing > 0
         owner, start, stop, scores = self.words_of(texts)
         n = len(start)
         if not n:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), [[] for _ in texts]
+            return [UNKNOWN] * len(texts), nothing, [[] for _ in texts], nothing > 0
         label = self.label(scores, owner)
         letters = stop - start
+        grams = 3 * letters + 1
+        loss = (self.own[label] - scores[label, np.arange(n)] / np.sqrt(letters)) * grams
+        size, lost, spelt = (np.bincount(owner, x, len(texts)) for x in (grams, loss, letters))
+        foreign = (spelt >= MIN_LETTERS) & (lost > MAX_LOSS * size)
         share = np.zeros((len(texts), len(self.languages)), np.int64)
         np.add.at(share, (owner, label), letters)
         top, total = share.argmax(axis=1), share.sum(axis=1)
@@ -242,7 +258,7 @@ class Model:
         for o, a, b, k in zip(owner[head].tolist(), start[head].tolist(), stop[tail].tolist(),
                               label[head].tolist()):
             spans[o].append({"start": a, "stop": b, "lang": self.languages[k]})
-        return lang, score, spans
+        return lang, score, spans, foreign
 
 
 def _texts(column: pa.Array) -> list[str]:
@@ -255,13 +271,13 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
     rows = labelled.select(text.alias("text"), lang.alias("lang")).filter("text is not null and lang is not null")
     sizes = {r["lang"]: r["n"] for r in rows.select("lang", F.xxhash64("text").alias("h")).distinct()
-             .groupBy("lang").agg(F.count("*").alias("n")).collect()}
+             .groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, len(SCRIPT_NAMES)), bool))
+        return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros((0, len(SCRIPT_NAMES)), bool), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, TRAIN_ROWS / sizes[k]))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    sample = rows.filter(draw < share[F.col("lang")]).distinct()  # copies meet in the map tasks first
+    sample = rows.filter(draw < F.coalesce(share[F.col("lang")], F.lit(0.0))).distinct()  # copies meet in the map tasks first
     index = {k: i for i, k in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,8 +304,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
         (scripts if r["kind"] else grams)[r["lang"], r["bucket"]] = r["n"]
     smooth = grams + SMOOTH
     table = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+    own = (grams * table).sum(axis=1) / np.maximum(grams.sum(axis=1), 1)
     used = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1) >= MIN_SCRIPT
-    return Model(languages, table, used)
+    return Model(languages, table, used, own)
 
 
 def held_out(id_col: Column) -> Column:
@@ -319,9 +336,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows whose text has a language holding at least ``min_score`` of its letters, and at
-    most half of them in scripts no learned language uses, with all columns of ``docs``; learned
-    from the rows not held out."""
+    """The rows whose text has a language holding at least ``min_score`` of its letters, at most half
+    of them in scripts no learned language uses, and n-grams that are not foreign to its languages
+    (``MAX_LOSS``: another language of the same script, random letters), with all columns of
+    ``docs``; learned from the rows not held out."""
     model = train(docs.filter(~held_out(F.col(id_col))), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
@@ -329,8 +347,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col):
             texts = _texts(block.column(at))
-            lang, score, _ = shared.value.predict(texts)
-            strange = shared.value.mostly_unknown(texts)
+            lang, score, _, foreign = shared.value.judge(texts)
+            strange = shared.value.mostly_unknown(texts) | foreign
             yield block.filter(pa.array([k != UNKNOWN and s >= min_score and not x
                                          for k, s, x in zip(lang, score, strange.tolist())], pa.bool_()))
 

@@ -48,6 +48,25 @@ def test_language_stage(spark, stages):
     assert {r["doc_id"] for r in made.collect()} == {r["doc_id"] for r in found if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.MIN_SHARE}
 
 
+def test_language_stage_rejects_what_is_foreign(spark):
+    """Planted: a language nobody labelled, random letters, another script; clean and short texts stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    clean = [r["text"] for r in docs.orderBy(F.desc("n_chars")).limit(6).collect()]
+    planted = [
+        "Minä olen suomalainen ja puhun suomea joka päivä kotona ystävien kanssa. " * 4,
+        "Jestem z Polski i mówię po polsku każdego dnia w domu z rodziną. " * 5,
+        "".join(rng.choice(letters, 600)), "Привет, как дела, друзья мои. " * 5, "1234 -- 5678"]
+    rows = [(10_000 + k, t, None, "s", len(t)) for k, t in enumerate(planted)]
+    rows += [(20_000 + k, t, None, "s", len(t)) for k, t in enumerate([*clean, clean[0] + " " + clean[1], "The of", "\U00030001 a"])]
+    tables = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    before, after = ({r["doc_id"] for r in d.select("doc_id").collect()} for d in (
+        tables, corpus_pipeline.language_id(spark, tables, SF)))
+    assert {i for i in before - after if i >= 10_000} == {10_000 + k for k in range(len(planted))}
+    assert not {i for i in before - after if i < 10_000}
+
+
 def test_near_duplicate_stage_keeps_the_smallest_of_each_component(stages):
     before, made = stages["simhash_dedup"]
     ids = sorted(before)
@@ -114,7 +133,7 @@ def test_run_is_registered(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
