@@ -34,8 +34,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, without a language of ``MIN_SHARE`` of their letters, or with
-    most letters in scripts no learned language uses, go."""
+    """Documents without a letter, without a language of ``MIN_SHARE`` of their letters, with most
+    letters in scripts no learned language uses, or whose letter sequences are foreign to their
+    languages (an unlearned language of the same script, random letters) go."""
     return langid.keep_identified(docs.select(*COLUMNS), min_score=MIN_SHARE)
 
 
