@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from termlens.llm.common import checkpoint, tidy
 from termlens.operators.skew import salted_join
 
-BAND, WEIGHT_BITS, ID_BITS, HELD = 64, 10, 12, 1 << 17
+BAND, WEIGHT_BITS, ID_BITS, HELD = 64, 6, 12, 1 << 17
 WORD = r"[^\x20\x09-\x0D]+"
 NODE = ["depth", "a", "b"]
 
