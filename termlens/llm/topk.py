@@ -9,19 +9,24 @@ inequality bounds it.
    (ties go to the smaller id, a query skips itself).  They are reduced within each batch
    first, so a group of copies costs one row per batch.
 2. Pivots are chosen far apart among a bounded sample.  Every class is keyed by its nearest
-   pivot and the distance to it, and the sorted keys are cut into annuli of about
-   ``ANNULUS`` classes: the index, written to the shared folder.
+   pivot and the distance to it; the sorted keys are cut into annuli of ``ANNULUS`` classes, at
+   any number of classes: the index, written to the shared folder.
 3. Every query class is searched in its own annulus first; the k-th score there bounds the
    rest.  An annulus whose distances to its pivot cannot reach that bound by the triangle
    inequality is never visited; in the others only the sorted stretch within the bound is
-   scored.  Groups (annulus, block of queries) are at most ``ANNULUS`` x ``QUERIES`` large.
+   scored.  Bounds are looked up in two steps, first over runs of ``2**RING_BITS`` annuli (so few that the
+   driver holds them), then over the annuli of the runs that are left.  An annulus travels
+   only to the blocks of about ``QUERIES`` queries of which one visits it, so a group (annulus, block
+   of queries) holds about ``ANNULUS + QUERIES`` vectors.
 
 Scores are integers; bounds are widened by ``SLACK`` so that rounding drops nothing.
 
-Defined results: vectors that are null, hold a null or a non-finite component, or whose length
-is not the most common one take no part; a row with a null id is no query and no candidate; rows that
-repeat an id and a vector are one candidate; an id with several vectors is a query for each;
-an empty table gives no rows.
+Defined results: vectors that are null or hold a null or a non-finite component take no part
+and change nothing for the others; of the others, those whose length is not the most common one
+(ties: the smaller) take no part; a row with a null id is no query and no candidate; rows that
+repeat an id and a vector are one candidate; an id with several vectors is a query for each, and
+none of its rows is a candidate for it; an empty table gives no rows; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -32,27 +37,30 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlens.llm.common import checkpoint
 
-SCALE, PIVOTS, SAMPLE, ANNULUS, QUERIES, MAX_ANNULI, SLACK = 64, 32, 2048, 2048, 2048, 65536, 1e-6
+SCALE, PIVOTS, SAMPLE, ANNULUS, QUERIES, SLACK = 64, 32, 2048, 2048, 16384, 1e-6
+#: Annuli of one partition are numbered from its number times ``2**32``; a run is ``2**RING_BITS`` of them.
+RING_BITS = 12
 
 
-def classes(df: DataFrame, k: int, id_col: str, vec_col: str, is_query: Column) -> DataFrame:
-    """(vec binary of int64, ids: the smallest k + 1, asks: whether a query is among all ids)."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("x"),
-                     F.coalesce(is_query, F.lit(False)).alias("asks"))
 
+def quantised(x: list[float]) -> bytes:
+    return np.floor(np.array(x, dtype=float) * SCALE).astype("<i8").tobytes()
+
+
+def classes(rows: DataFrame, k: int) -> DataFrame:
+    """(vec binary of int64, ids: the smallest k + 1, asks: whether a query is among all ids), from
+    usable rows (id, x, asks)."""
     def reduce_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups: dict[bytes, list] = {}
             for i, x, asks in zip(*(c.to_pylist() for c in batch.columns)):
-                if i is None or x is None or any(v is None or not math.isfinite(v) for v in x):
-                    continue
-                key = np.floor(np.array(x, dtype=float) * SCALE).astype("<i8").tobytes()
-                group = groups.setdefault(key, [set(), False])
+                group = groups.setdefault(quantised(x), [set(), False])
                 group[0].add(i)
                 group[1] |= asks
             yield pa.RecordBatch.from_arrays([
@@ -93,7 +101,7 @@ def in_chunks(f, x: np.ndarray, size: int = 4096) -> np.ndarray:
     return np.concatenate([f(x[a:a + size]) for a in range(0, len(x), size)])
 
 
-def build(found: DataFrame, pivots: np.ndarray, top: float, n: int) -> DataFrame:
+def build(found: DataFrame, pivots: np.ndarray, top: float) -> DataFrame:
     """The index: (annulus, pivot, dist, vec, ids, asks), sorted by pivot and distance."""
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,11 +112,19 @@ def build(found: DataFrame, pivots: np.ndarray, top: float, n: int) -> DataFrame
                     [pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near]), *batch.columns],
                     names=["pivot", "dist", "vec", "ids", "asks"])
 
-    keyed = found.select("vec", "ids", "asks").mapInArrow(
-        key, "pivot int, dist double, vec binary, ids array<long>, asks boolean")
-    annuli = min(MAX_ANNULI, max(1, -(-n // ANNULUS)))
-    ranged = keyed.repartitionByRange(annuli, "pivot", "dist", "vec")
-    return checkpoint(ranged.withColumn("annulus", F.spark_partition_id()).sortWithinPartitions("pivot", "dist", "vec"))
+    columns = "pivot int, dist double, vec binary, ids array<long>, asks boolean"
+    size = ANNULUS
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, seen = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            annulus = first + (seen + np.arange(batch.num_rows)) // size
+            seen += batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(annulus), *batch.columns], names=["annulus", *batch.schema.names])
+
+    keyed = found.select("vec", "ids", "asks").mapInArrow(key, columns)
+    ranged = keyed.repartitionByRange("pivot", "dist", "vec").sortWithinPartitions("pivot", "dist", "vec")
+    return checkpoint(ranged.mapInArrow(cut, f"annulus long, {columns}"))
 
 
 def search_annulus(q: np.ndarray, floor: np.ndarray, rows: pd.DataFrame, pivots: np.ndarray, top: float, k: int):
@@ -159,12 +175,16 @@ def search_annulus(q: np.ndarray, floor: np.ndarray, rows: pd.DataFrame, pivots:
 
 def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): every query's k best other rows."""
-    dims = F.size(F.col(vec_col).cast("array<double>"))
-    common = df.filter(F.col(vec_col).isNotNull()).groupBy(dims.alias("d")).agg(F.count("*").alias("n")).orderBy(
+    x = F.col(vec_col).cast("array<double>")
+    finite = F.forall(x, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)) & ~F.isnan(v))
+    dims = F.when(finite, F.size(x))
+    sized = df.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), x.alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"), dims.alias("d"))
+    common = sized.filter(F.col("d").isNotNull()).groupBy("d").agg(F.count("*").alias("n")).orderBy(
         F.desc("n"), "d").limit(1).collect()
     width = common[0]["d"] if common else 0
-    usable = df.filter((dims == width) & F.col(id_col).isNotNull())
-    found = checkpoint(classes(usable, k, id_col, vec_col, is_query))
+    usable = sized.filter(F.col("d") == width).select("id", "x", "asks")
+    found = checkpoint(classes(usable, k))
 
     def norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,10 +194,10 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     stats = found.select("vec").mapInArrow(norms, "n double").agg(F.max("n").alias("top"), F.count("*").alias("n")).first()
     if not stats["n"]:
         return found.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    top, n = float(stats["top"]), int(stats["n"])
+    top = float(stats["top"])
     sample = [r["vec"] for r in found.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).collect()]
     pivots = far_apart(lifted(matrix(sample), top), PIVOTS)
-    index = build(found, pivots, top, n)
+    index = build(found, pivots, top)
 
     # first look: each query class in its own annulus
     result = "vec binary, found array<struct<loss: long, id: long>>"
@@ -198,33 +218,46 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
             parts.append(pd.DataFrame({"vec": vec, "floor": kth, "annulus": asking["annulus"].iloc[a:a + QUERIES].tolist()}))
         return pd.concat(parts) if parts else pd.DataFrame({"vec": [], "floor": [], "annulus": []})
 
-    floors = checkpoint(index.groupBy("annulus").applyInPandas(at_home, "vec binary, floor double, annulus int"))
-    # annuli by pivot: MAX_ANNULI + PIVOTS rows at most
-    rings = [(r["annulus"], r["pivot"], r["low"], r["high"]) for r in index.groupBy("annulus", "pivot").agg(
-        F.min("dist").alias("low"), F.max("dist").alias("high")).collect()]
-    ring = np.array(rings, dtype=float).reshape(-1, 4)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    floors = checkpoint(index.groupBy("annulus").applyInPandas(at_home, "vec binary, floor double, annulus long"))
+    slices = max(1, -(-floors.count() // QUERIES))
+    asking = floors.select("vec", "floor", F.pmod(F.xxhash64("vec"), F.lit(slices)).cast("int").alias("slice"))
+    rings = checkpoint(index.groupBy("annulus", "pivot").agg(F.min("dist").alias("low"), F.max("dist").alias("high")).withColumn(
+        "run", F.shiftright("annulus", RING_BITS)))
+    runs = rings.groupBy("run", "pivot").agg(F.min("low"), F.max("high")).collect()
+
+    def within(ring: list[tuple], vecs: list[bytes], floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, number) of queries and the rings (number, pivot, low, high) their bound reaches."""
+        q = matrix(vecs)
+        own = in_chunks(lambda p: distances(p, pivots), np.column_stack([q, np.zeros(len(q))]))
+        reach = np.sqrt(np.maximum((q * q).sum(axis=1) + top - 2 * floor, 0)) * (1 + SLACK) + SLACK
+        number, pivot, low, high = (np.array(c) for c in zip(*ring))
+        to = []
+        for j in range(len(q)):
+            d = own[j, pivot]
+            to.append(np.unique(number[np.maximum(np.maximum(low - d, d - high), 0) <= reach[j]]))
+        return np.repeat(np.arange(len(q)), [len(t) for t in to]), np.concatenate(to)
+
+    def to_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vecs = batch.column(0).to_pylist()
-            if not vecs:
-                continue
-            q, floor = matrix(vecs), batch.column(1).to_numpy()
-            own = in_chunks(lambda p: distances(p, pivots), np.column_stack([q, np.zeros(len(q))]))
-            reach = np.sqrt(np.maximum((q * q).sum(axis=1) + top - 2 * floor, 0)) * (1 + SLACK) + SLACK
-            for j in range(len(q)):
-                d = own[j, ring[:, 1].astype(int)]
-                near = np.maximum(np.maximum(ring[:, 2] - d, d - ring[:, 3]), 0)
-                to = np.unique(ring[near <= reach[j], 0]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to), pa.array([vecs[j]] * len(to), pa.binary()), pa.array(np.full(len(to), floor[j]))],
-                    names=["annulus", "vec", "floor"])
-
-    n_queries = floors.count()
-    slices = max(1, -(-n_queries // QUERIES))
-    sent = floors.select("vec", "floor").mapInArrow(route, "annulus int, vec binary, floor double").withColumn(
-        "slice", F.pmod(F.xxhash64("vec"), F.lit(slices)).cast("int"))
-    spread = index.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+            if batch.num_rows:
+                j, to = within(runs, batch.column(0).to_pylist(), batch.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(to), *batch.take(pa.array(j)).columns], names=["run", *batch.schema.names])
+
+    def to_annuli(queries: pd.DataFrame, ring: pd.DataFrame) -> pd.DataFrame:
+        if not len(queries) or not len(ring):
+            return pd.DataFrame({"annulus": [], "vec": [], "floor": [], "slice": []})
+        known = list(ring[["annulus", "pivot", "low", "high"]].itertuples(index=False, name=None))
+        j, to = within(known, queries["vec"].tolist(), queries["floor"].to_numpy())
+        return queries[["vec", "floor", "slice"]].iloc[j].assign(annulus=to)[["annulus", "vec", "floor", "slice"]]
+
+    nearby = asking.mapInArrow(to_runs, "run long, vec binary, floor double, slice int")
+    asked = nearby.select(F.col("run").alias("to"), F.col("slice").alias("block")).distinct()
+    reached = rings.join(asked, F.col("run") == F.col("to"))
+    sent = nearby.groupBy("run", "slice").cogroup(reached.groupBy("to", "block")).applyInPandas(
+        to_annuli, "annulus long, vec binary, floor double, slice int")
+    # an annulus goes to the blocks that visit it
+    visits = sent.select(F.col("annulus").alias("to"), F.col("slice").alias("block")).distinct()
+    spread = index.join(visits, F.col("annulus") == F.col("to"))
 
     def visit(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
@@ -234,22 +267,20 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
         vec = queries["vec"].tolist()
         return pd.DataFrame({"vec": [vec[j] for j in best], "found": [entries(best, j) for j in best]})
 
-    visited = sent.groupBy("annulus", "slice").cogroup(spread.groupBy("annulus", "slice")).applyInPandas(visit, result)
+    visited = sent.groupBy("annulus", "slice").cogroup(spread.groupBy("to", "block")).applyInPandas(visit, result)
+    nearest_first = Window.partitionBy("vec").orderBy("e")
     best = checkpoint(
-        visited.groupBy("vec").agg(F.flatten(F.collect_list("found")).alias("found"))
-        .select("vec", F.slice(F.array_sort("found"), 1, k + 1).alias("found")))
+        visited.select("vec", F.explode("found").alias("e")).withColumn("nth", F.row_number().over(nearest_first))
+        .filter(F.col("nth") <= k + 1).groupBy("vec").agg(F.sort_array(F.collect_list("e")).alias("found")))
 
     # every query id takes its class's result without itself
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [(i, np.floor(np.array(x, dtype=float) * SCALE).astype("<i8").tobytes())
-                    for i, x in zip(*(c.to_pylist() for c in batch.columns))
-                    if not any(v is None or not math.isfinite(v) for v in x)]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()),
-                                              pa.array([v for _, v in kept], pa.binary())], names=["query_id", "vec"])
-
-    queries = usable.filter(is_query).select(
-        F.col(id_col).cast("long"), F.col(vec_col).cast("array<double>")).mapInArrow(keys, "query_id long, vec binary")
+            ids, vecs = (c.to_pylist() for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(quantised, vecs), pa.binary())],
+                                             names=["query_id", "vec"])
+
+    queries = usable.filter("asks").select("id", "x").mapInArrow(keys, "query_id long, vec binary")
     others = F.slice(F.filter("found", lambda e: e["id"] != F.col("query_id")), 1, k)
     return (
         queries.distinct().join(best, "vec").select("query_id", F.posexplode(others).alias("pos", "e"))

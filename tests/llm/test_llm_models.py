@@ -223,6 +223,35 @@ def test_topk_edge_rows(spark):
     run_topk(spark, [])
 
 
+def test_topk_unusable_vectors_change_nothing(spark):
+    """Longer vectors with nulls outnumber the usable ones; repeated ids and rows; two widths."""
+    usable = [(0, [1.0, 2.0]), (4, [0.5, 0.5]), (7, [2.0, 1.0])]
+    broken = [(k, [1.0, None, float("nan")]) for k in range(100, 104)] + [(200, [1.0, float("-inf"), 2.0])]
+    run_topk(spark, usable + broken)
+    assert topk.nearest(spark.createDataFrame(usable + broken, "vec_id long, embedding array<double>"),
+                        F.col("vec_id") == 0).count() == 2
+    narrow = [(300, [1.0]), (304, [2.0])]
+    df = spark.createDataFrame(usable + narrow, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.nearest(df, F.col("vec_id") % 4 == 0, 5).collect()} == plain_topk(
+        usable, 5, lambda i: i % 4 == 0)
+    # a repeated row is one candidate; an id with two vectors asks for each, and never finds itself
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [3.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.nearest(df, F.col("vec_id") % 2 == 0, 5).collect())
+    assert got == [(0, 1, 2, 12288), (0, 2, 1, 4096), (0, 3, 2, 0),
+                   (2, 1, 0, 0), (2, 1, 0, 12288), (2, 2, 1, 0), (2, 2, 1, 12288)]
+
+
+@pytest.mark.parametrize("bits", [0, 1])
+def test_topk_many_runs_and_query_blocks(spark, monkeypatch, bits):
+    monkeypatch.setattr(topk, "ANNULUS", 5)
+    monkeypatch.setattr(topk, "QUERIES", 7)
+    monkeypatch.setattr(topk, "RING_BITS", bits)
+    monkeypatch.setattr(topk, "PIVOTS", 3)
+    rng = np.random.default_rng(4)
+    run_topk(spark, [(k, rng.normal(0, 1, 4).tolist()) for k in range(130)], k=3)
+
+
 def test_topk_query(spark):
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = {tuple(r) for r in QUERIES["op6_exact_topk"](spark, SF).collect()}
