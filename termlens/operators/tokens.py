@@ -53,11 +53,19 @@ def distinct_terms_array(text: Column, analyzer: str = "lower", terms_col: str |
     return F.array_distinct(analyze_array(toks, analyzer))
 
 
+def refuse_repeated(doc_id: Column) -> Column:
+    """Raises, when evaluated: results per document need unique ids."""
+    return F.raise_error(F.concat(F.lit("more than one document with id "), doc_id.cast("string")))
+
+
 def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
              analyzer: str = "lower", prepartition: bool = True,
              flag_terms: str | None = None, terms_col: str | None = None) -> DataFrame:
     """T1+T4: ``(id, position, surface, term, start, end)`` for every token.
 
+    Ids must be unique: rows that share one would get each other's positions and offsets, so
+    a position that does not follow the one before raises when the tokens are computed.
+
     ``flag_terms`` names an array<string> column of ``docs``; when given, only tokens
     whose term is in it are returned (the hit filter is decided per document before the
     explode, so the keyterm array is never copied onto token rows).
@@ -95,13 +103,17 @@ def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         ),
     )
     rows = d.select(id_col, F.posexplode(pieces).alias("position", "p"))
-    w = Window.partitionBy(id_col).orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = Window.partitionBy(id_col).orderBy("position")
+    w = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    unique = F.lag("position", 1, -1).over(in_order) == F.col("position") - 1
+    length = F.when(unique, F.col("p.len").cast("bigint")).otherwise(refuse_repeated(F.col(id_col)).cast("bigint"))
+    rows = rows.withColumn("_len", length)
     out = rows.select(
         id_col,
         F.col("position").cast("bigint").alias("position"),
         F.col("p.surface").alias("surface"),
         F.col("p.term").alias("term"),
-        (F.sum(F.col("p.len").cast("bigint")).over(w) - F.length("p.surface")).alias("start"),
+        (F.sum("_len").over(w) - F.length("p.surface")).alias("start"),
         *([F.col("p.hit").alias("_hit")] if flag_terms else []),
     ).withColumn("end", F.col("start") + F.length("surface"))
     if flag_terms:

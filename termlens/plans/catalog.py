@@ -44,6 +44,7 @@ SHINGLE = 6
 GROUP_SHARD = 20
 UNKNOWN_ID_BASE = 1_000_000_000
 STREAM_FILES = 3
+STUB_CHARS = 200
 # ---------------------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -377,6 +378,36 @@ def incremental_extract(spark, sf):
     return E.flatten_result(E.incremental_extract(_docs(spark, sf), RAW, spark.read.parquet(path)), RAW)
 
 
+@query("incremental_first_run")
+def incremental_first_run(spark, sf):
+    """No document has a keywords field yet, nor does the table: all are extracted for."""
+    return E.flatten_result(E.incremental_extract(_docs(spark, sf), RAW), RAW)
+
+
+def _json_docs(spark, sf):
+    """The labelled documents as JSON objects in a VARIANT column; a null member is left out."""
+    body = F.struct(F.struct("text").alias("content"), F.struct(
+        "lang", F.struct("quality", "toxic").alias("audit"), F.array("source").alias("sources")).alias("meta"))
+    return _labelled(spark, sf).select("doc_id", F.parse_json(F.to_json(body)).alias("doc"))
+
+
+SCHEMALESS = RAW.with_(keyword_col="content.text", body_col="doc", must_have_fields=("meta.audit.quality", "meta.sources"),
+                       must_not_have_fields=("keywords", "meta.audit.reviewed"))
+
+
+@query("schemaless_eligible")
+def schemaless_eligible(spark, sf):
+    """Documents without a schema: dotted paths into a VARIANT column, fields nobody has."""
+    d = _json_docs(spark, sf)
+    return SRC.eligible_docs(d, ["content.text", "meta.audit.quality"], ["keywords", "meta.audit.reviewed"], "doc").select(
+        "doc_id", SRC.field_text(d, "meta.lang", "doc").alias("lang"))
+
+
+@query("schemaless_extract")
+def schemaless_extract(spark, sf):
+    return E.flatten_result(E.extract(_json_docs(spark, sf), SCHEMALESS), SCHEMALESS)
+
+
 @query("extract_with_stored_background")
 def extract_with_stored_background(spark, sf):
     """The background was stored when only the labelled documents were there; the terms that came
@@ -523,3 +554,22 @@ def stream_extract(spark, sf):
     work = f"{ensure_checkpoint_dir(spark)}/termlens-stream-{uuid.uuid4().hex}"
     docs.repartition(STREAM_FILES, "doc_id").write.parquet(f"{work}/source")  # a micro-batch per file
     return E.flatten_result(STR.stream_extract(spark, f"{work}/source", None, docs, RAW, work), RAW)
+
+
+@query("stream_live_background")
+def stream_live_background(spark, sf):
+    """No background beforehand: it is counted as the documents stream in.  Labelled documents come
+    first as a stub of an earlier version, whose terms are taken back when the whole text comes."""
+    from ..streaming import live as LV
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", F.lit(1).alias("version"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id").distinct()
+    stubs = docs.join(labels, "doc_id", "left_semi").select(
+        "doc_id", F.concat(F.lit("stub "), F.substring("text", 1, STUB_CHARS)).alias("text"), F.lit(0).alias("version"))
+    work = f"{ensure_checkpoint_dir(spark)}/termlens-live-{uuid.uuid4().hex}"
+    stubs.unionByName(docs).repartition(STREAM_FILES, "doc_id", "version").write.parquet(f"{work}/source")
+    store = LV.Store(f"{work}/store", RAW, docs.schema, "version")
+    q = LV.start_live_stream(spark, store, f"{work}/source")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return E.flatten_result(store.results(spark), RAW)

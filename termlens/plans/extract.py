@@ -19,7 +19,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import stopwords as SW
@@ -35,11 +35,13 @@ from ..sources import documents as SRC
 
 @dataclass(frozen=True)
 class ExtractConfig:
-    """The public parameters (see README).  Names follow the original command line."""
+    """The public parameters (see README).  Names follow the original command line.  Fields may be
+    dotted paths, also into ``body_col``, a ``VARIANT`` column of documents without a schema."""
 
     keyword_col: str = "text"
     highlight_col: str | None = None
     id_col: str = "doc_id"
+    body_col: str | None = None
     use_termvectors: bool = False          # analysed mode (stems, word windows)
     analyzer: str | None = None            # default: 'lower' raw, 'english' analysed
     max_doc_keyterms: int = 16
@@ -85,12 +87,23 @@ def eligible(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
     written back by id, so a row without one cannot be updated).  Requiring the id also
     gives every branch of the plan the same scan, so the text exchange is reused."""
     return SRC.eligible_docs(docs, [cfg.id_col] + list(cfg.must_have_fields) + [cfg.keyword_col, cfg.highlight],
-                             cfg.must_not_have_fields)
+                             cfg.must_not_have_fields, cfg.body_col)
+
+
+def _with_fields(docs: DataFrame, cfg: ExtractConfig) -> tuple[DataFrame, ExtractConfig]:
+    """Keyword and highlight fields as plain columns: a path is resolved into a text column of its
+    own; a field that no document can have is null everywhere, so nothing is eligible."""
+    for name, col in (("keyword_col", "_keyword_text"), ("highlight_col", "_highlight_text")):
+        path = getattr(cfg, name)
+        if path is not None and path not in docs.columns:
+            docs, cfg = docs.withColumn(col, SRC.field_text(docs, path, cfg.body_col)), cfg.with_(**{name: col})
+    return docs, cfg
 
 
 def keyterms(docs: DataFrame, cfg: ExtractConfig, background: DataFrame | None = None,
              n_docs: Column | None = None) -> DataFrame:
     """A4 for the eligible documents against the whole collection."""
+    docs, cfg = _with_fields(docs, cfg)
     docs = _staged(docs, cfg)
     terms = STAGED if STAGED in docs.columns else None
     elig = eligible(docs, cfg).select(cfg.id_col, cfg.keyword_col, *([terms] if terms else []))
@@ -135,13 +148,19 @@ def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame
         cols.append(TK.analyze_array(X.token_array(cfg.highlight), cfg.term_analyzer).alias("_terms"))
     base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
     hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
-    return base.join(H.hit_arrays(hits, idc), idc, "left")
+    per = base.join(H.hit_arrays(hits, idc), idc, "left")
+    # results are written back by id, and keyterms of rows that share one could not be told apart
+    alone = F.count(F.lit(1)).over(Window.partitionBy(idc)) == 1
+    kind = per.schema["hits"].dataType
+    return per.withColumn("_alone", alone).withColumn("hits", F.when(F.col("_alone"), F.col("hits")).otherwise(
+        TK.refuse_repeated(F.col(idc)).cast(kind))).drop("_alone")
 
 
 def per_document_hits(docs: DataFrame, cfg: ExtractConfig, background: DataFrame | None = None,
                       n_docs: Column | None = None) -> DataFrame:
     """``(id, _hl, kt, hits)`` for every eligible document; ``hits`` is the sorted hit
     array (null when the document has no keyterm or no hit)."""
+    docs, cfg = _with_fields(docs, cfg)
     docs = _staged(docs, cfg)
     return _with_hits(docs, H.keyterm_sets(keyterms(docs, cfg, background, n_docs), cfg.id_col), cfg)
 
@@ -193,6 +212,7 @@ def locate(docs: DataFrame, keyterms_df: DataFrame, cfg: ExtractConfig | None =
     Same output as ``extract``."""
     cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
     _check(cfg)
+    docs, cfg = _with_fields(docs, cfg)
     per = _with_hits(docs, H.keyterm_sets(keyterms_df.select(cfg.id_col, "term"), cfg.id_col), cfg)
     return _analyzed_result(per, cfg) if cfg.use_termvectors else _raw_result(per, cfg)
 
@@ -205,7 +225,8 @@ def extract(docs: DataFrame, cfg: ExtractConfig | None = None, background: DataF
     offsets per surface form, contexts are character fragments.  Analysed mode
     (``use_termvectors=True``): keywords are terms in sorted order, contexts are word
     windows of terms.  A document with no surviving keyterm keeps its row with null
-    values (H10).
+    values (H10).  Ids must be unique among the eligible documents: a repeated one raises when
+    the result is computed.
     """
     cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
     _check(cfg)
@@ -221,9 +242,11 @@ def incremental_extract(docs: DataFrame, cfg: ExtractConfig | None = None, previ
     to the documents to extract for, and the background reads the raw documents."""
     cfg = (cfg or ExtractConfig()).with_(**overrides) if overrides else (cfg or ExtractConfig())
     if previous is None:
+        # on the first run no document has the field, and all are extracted for
         cfg = cfg.with_(must_not_have_fields=tuple(cfg.must_not_have_fields) + (cfg.keywords_field,))
         return extract(docs.drop(*[c for c in (cfg.offsets_field, cfg.contexts_field) if c in docs.columns]), cfg)
     _check(cfg)
+    docs, cfg = _with_fields(docs, cfg)
     docs = _staged(docs, cfg)
     terms = STAGED if STAGED in docs.columns else None
     bg, n = ST.background_and_size(docs, cfg.keyword_col, cfg.id_col, cfg.term_analyzer, terms)

@@ -383,6 +383,14 @@ _elig AS (SELECT doc_id FROM _src WHERE doc_id NOT IN (
   SELECT doc_id FROM labels WHERE quality IS NOT NULL AND doc_id IN (SELECT doc_id FROM hits))),
 {flat_raw(elig='_elig')}"""
 
+SQL["incremental_first_run"] = SQL["extract_raw"]
+SQL["schemaless_extract"] = f"""WITH RECURSIVE {_FRAG},
+_elig AS (SELECT doc_id FROM _src WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)
+  AND doc_id IN (SELECT doc_id FROM documents WHERE source IS NOT NULL)),
+{flat_raw(elig='_elig')}"""
+SQL["schemaless_eligible"] = ("SELECT doc_id, lang FROM documents JOIN labels USING (doc_id) "
+                              "WHERE text IS NOT NULL AND quality IS NOT NULL")
+
 # --- S, P ------------------------------------------------------------------------------------
 _LAB = "(SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id))"
 SQL["eligible_docs"] = f"SELECT doc_id, lang, source, n_chars, quality, toxic FROM {_LAB} WHERE text IS NOT NULL AND quality IS NOT NULL"
@@ -440,6 +448,7 @@ SQL["audit_scope"] = _checked("scope", f"{_LAB} WHERE text IS NOT NULL AND quali
 # The stream drains the whole table against the stored background of the whole table, so
 # its rows equal the batch extraction's.
 SQL["stream_extract"] = SQL["extract_raw"]
+SQL["stream_live_background"] = SQL["extract_raw"]
 
 
 def oracle_sql() -> dict[str, str]:
