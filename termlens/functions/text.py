@@ -26,6 +26,9 @@ WORD_CHAR = r"[\p{L}\p{N}_]"
 # Marks put round hits by the highlighter.
 LEFT_MARK = "<em>"
 RIGHT_MARK = "</em>"
+# Pieces of a token for the keyterm audit: words, and these marks each by itself.
+MARKS = ".,!?;\"'"
+PIECE_PATTERN = r"[\p{L}\p{N}_]+|[" + MARKS + "]"
 # Python's string.punctuation, the set stripped from terms by the keyterm audit.
 PUNCTUATION = string.punctuation
 # -------------------------------------------------------------------------------------
@@ -43,14 +46,14 @@ def let(value, body) -> Column:
     return F.element_at(F.transform(F.array(_c(value)), body), 1)
 
 
-def token_array(text) -> Column:
+def token_array(text, pattern: str = TOKEN_PATTERN) -> Column:
     """T1, no offsets: the tokens of ``text`` in order (array<string>)."""
-    return F.regexp_extract_all(_c(text), F.lit(TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(_c(text), F.lit(pattern), 0)
 
 
-def gap_array(text) -> Column:
+def gap_array(text, pattern: str = TOKEN_PATTERN) -> Column:
     """The strings between tokens: element i precedes token i, one more than tokens."""
-    return F.split(_c(text), TOKEN_PATTERN, -1)
+    return F.split(_c(text), pattern, -1)
 
 
 def lower_terms(tokens) -> Column:
@@ -89,13 +92,14 @@ def strip_punct(term) -> Column:
 
 
 def expand_punct(tokens) -> Column:
-    """Add to a token set the pieces split at punctuation and the stripped forms.
+    """Add to a token set its tokens' pieces and stripped forms.
 
-    Pieces are maximal runs of characters that are neither white space nor ASCII
-    punctuation, so "22-year-old" adds "22", "year", "old" and "22yearold".
+    Pieces are runs of letters, digits and underscores, and every mark of ``MARKS`` by itself; a
+    stripped form lacks all ASCII punctuation.  "22-year-old!" adds "22", "year", "old", "!" and
+    "22yearold".
     """
     t = _c(tokens)
-    pieces = F.flatten(F.transform(t, lambda x: F.regexp_extract_all(x, F.lit(r"[^\s\p{Punct}]+"), 0)))
+    pieces = F.flatten(F.transform(t, lambda x: F.regexp_extract_all(x, F.lit(PIECE_PATTERN), 0)))
     stripped = F.transform(t, strip_punct)
     return F.array_distinct(F.concat(t, pieces, stripped))
 

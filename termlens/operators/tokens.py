@@ -15,31 +15,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import segment as G
 from ..functions import stem as S
 from ..functions import text as X
 
-ANALYZERS = ("none", "lower", "english", "light")
+#: An analyzer names its tokeniser and what becomes of the tokens.
+ANALYZERS = {
+    "none": (X.TOKEN_PATTERN, "none"), "lower": (X.TOKEN_PATTERN, "lower"),
+    "english": (X.TOKEN_PATTERN, "english"), "light": (X.TOKEN_PATTERN, "light"),
+    "standard_none": (G.STANDARD_PATTERN, "none"), "standard": (G.STANDARD_PATTERN, "lower"),
+    "standard_english": (G.STANDARD_PATTERN, "english"), "standard_light": (G.STANDARD_PATTERN, "light"),
+}
+
+
+def _analyzer(name: str) -> tuple[str, str]:
+    if name not in ANALYZERS:
+        raise ValueError(f"unknown analyzer {name!r}; expected one of {tuple(ANALYZERS)}")
+    return ANALYZERS[name]
+
+
+def token_array(text, analyzer: str = "lower") -> Column:
+    """T1, no offsets: the tokens of a text under the analyzer's tokeniser."""
+    return X.token_array(text, _analyzer(analyzer)[0])
 
 
 def analyze_array(tokens: Column, analyzer: str = "lower") -> Column:
     """T4: map an array of surface tokens to an aligned array of terms.
 
-    ``none``: as written; ``lower``: T2 (the standard analyser); ``english``: T2 then the
-    Porter stemmer (T3); ``light``: T2 then the S-stemmer.
+    ``none``: as written; ``lower``: T2; ``english``: T2 then the Porter stemmer (T3); ``light``: T2
+    then the S-stemmer.  ``standard`` and ``standard_...`` do the same to tokens of the standard
+    segmentation (``functions.segment``).
     """
-    if analyzer == "none":
+    kind = _analyzer(analyzer)[1]
+    if kind == "none":
         return tokens
     low = X.lower_terms(tokens)
-    if analyzer == "lower":
-        return low
-    if analyzer == "english":
+    if kind == "english":
         return S.stem_words(low)
-    if analyzer == "light":
-        return F.transform(low, X.light_stem)
-    raise ValueError(f"unknown analyzer {analyzer!r}; expected one of {ANALYZERS}")
+    return F.transform(low, X.light_stem) if kind == "light" else low
 
 
-PYTHON_ANALYZERS = ("english",)
+PYTHON_ANALYZERS = ("english", "standard_english")
 
 
 def distinct_terms_array(text: Column, analyzer: str = "lower", terms_col: str | None = None) -> Column:
@@ -47,8 +63,8 @@ def distinct_terms_array(text: Column, analyzer: str = "lower", terms_col: str |
     de-duplicated before the Python call, so Python sees each document's vocabulary once."""
     if terms_col:
         return F.array_distinct(terms_col)
-    toks = X.token_array(text)
-    if analyzer == "english":
+    toks = token_array(text, analyzer)
+    if analyzer in PYTHON_ANALYZERS:
         return F.array_distinct(S.stem_words(F.array_distinct(X.lower_terms(toks))))
     return F.array_distinct(analyze_array(toks, analyzer))
 
@@ -84,11 +100,11 @@ def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     d = d.select(*cols)
     if prepartition:
         d = d.repartition(id_col)
-    toks = X.token_array("_text")
+    toks = token_array("_text", analyzer)
     d = d.select(
         id_col,
         toks.alias("_toks"),
-        X.gap_array("_text").alias("_gaps"),
+        X.gap_array("_text", _analyzer(analyzer)[0]).alias("_gaps"),
         *([F.col("_kt")] if flag_terms else []),
         *([F.col("_pre_terms")] if terms_col else []),
     )
@@ -134,7 +150,7 @@ def term_frequencies(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     """``(id, term, tf)``.  Partial aggregation collapses repeats inside each scan task,
     so the shuffle carries one row per distinct pair."""
     return (docs.where(F.col(text_col).isNotNull())
-            .select(id_col, F.explode(F.col(terms_col) if terms_col else analyze_array(X.token_array(text_col), analyzer))
+            .select(id_col, F.explode(F.col(terms_col) if terms_col else analyze_array(token_array(text_col, analyzer), analyzer))
                     .alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
 

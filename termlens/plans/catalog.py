@@ -110,6 +110,12 @@ def analyzed_tokens(spark, sf):
     return TK.tokenize(_docs(spark, sf), analyzer="light").select("doc_id", "position", "surface", "term", "start", "end")
 
 
+@query("tokens_standard")
+def tokens_standard(spark, sf):
+    """Words by the default word boundaries of Unicode, with offsets."""
+    return TK.tokenize(_docs(spark, sf), analyzer="standard").select("doc_id", "position", "surface", "term", "start", "end")
+
+
 @query("term_vectors")
 def term_vectors(spark, sf):
     tv = TK.term_vectors(TK.tokenize(_docs(spark, sf), analyzer="lower"))

@@ -121,7 +121,7 @@ def stage_terms(docs: DataFrame, cfg: ExtractConfig) -> DataFrame:
     and the hits all read that table."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/termlens-terms-{uuid.uuid4().hex}"
-    terms = TK.analyze_array(X.token_array(cfg.keyword_col), cfg.term_analyzer)
+    terms = TK.analyze_array(TK.token_array(cfg.keyword_col, cfg.term_analyzer), cfg.term_analyzer)
     docs.withColumn(STAGED, terms).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -145,7 +145,7 @@ def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame
     if STAGED in docs.columns:
         cols.append(STAGED)
     elif pre:
-        cols.append(TK.analyze_array(X.token_array(cfg.highlight), cfg.term_analyzer).alias("_terms"))
+        cols.append(TK.analyze_array(TK.token_array(cfg.highlight, cfg.term_analyzer), cfg.term_analyzer).alias("_terms"))
     base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
     hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
     per = base.join(H.hit_arrays(hits, idc), idc, "left")
@@ -192,7 +192,7 @@ def _analyzed_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
             F.when(has, F.col("_go.offsets")).alias(cfg.offsets_field)]
     if cfg.extract_contexts:
         if not pre:
-            step = step.withColumn("_terms", F.when(has, TK.analyze_array(X.token_array("_hl"), cfg.term_analyzer)))
+            step = step.withColumn("_terms", F.when(has, TK.analyze_array(TK.token_array("_hl", cfg.term_analyzer), cfg.term_analyzer)))
         isl = CX.islands(F.transform(h, lambda x: x["position"]), w)
         if cfg.context_order == "position":
             ctx = CX.slice_windows(F.col("_terms"), CX.island_windows(isl, w, inclusive=True))

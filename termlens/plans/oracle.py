@@ -31,8 +31,8 @@ def src(name="_src", table="documents", id_expr="doc_id", text_expr="text", wher
     return f"{name} AS (SELECT {id_expr} AS doc_id, {text_expr} AS t FROM {table} WHERE {text_expr} IS NOT NULL AND {where})"
 
 
-def tokens(source="_src", name="tokens", term="lower(surface)") -> str:
-    return f"""{name}_a AS (SELECT doc_id, regexp_extract_all(t, '{P}') AS toks, regexp_split_to_array(t, '{P}') AS gaps FROM {source}),
+def tokens(source="_src", name="tokens", term="lower(surface)", pattern=P) -> str:
+    return f"""{name}_a AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS toks, regexp_split_to_array(t, '{pattern}') AS gaps FROM {source}),
 {name}_u AS (SELECT doc_id, unnest(toks) AS surface, unnest(gaps) AS gap, unnest(range(len(gaps))) AS position FROM {name}_a),
 {name}_e AS (SELECT doc_id, CAST(position AS BIGINT) AS position, surface,
     CAST(sum(length(gap) + length(surface)) OVER (PARTITION BY doc_id ORDER BY position
@@ -193,10 +193,18 @@ SQL["term_vectors"] = (f"WITH {src()},\n{tokens()}\nSELECT doc_id, term, CAST(ro
                        "(PARTITION BY doc_id, term ORDER BY position) - 1 AS BIGINT) AS occ, position, start, \"end\" FROM tokens")
 SQL["tokens_in_order"] = (f"WITH {src()},\n{tokens()}\n"
                           "SELECT doc_id, string_agg(term, ' ' ORDER BY position) AS terms FROM tokens GROUP BY doc_id")
+# the word boundaries of Unicode for scripts that write words with letters and part them
+_X = "[\\p{M}\\x{AD}\\x{200C}-\\x{200F}\\x{2060}]*"
+_L = f"(?:[\\p{{Latin}}\\p{{Greek}}\\p{{Cyrillic}}\\p{{Armenian}}\\p{{Arabic}}\\p{{Devanagari}}\\p{{Hangul}}]{_X})+"
+_N = f"(?:\\p{{Nd}}{_X})+"
+_BODY = f"(?:{_L}(?:[:.\\x{{B7}}\\x{{2018}}\\x{{2019}}'']{_X}{_L})*|{_N}(?:[,;.\\x{{2018}}\\x{{2019}}'']{_X}{_N})*)+"
+_JOIN = f"(?:[\\p{{Pc}}\\x{{202F}}]{_X})"
+_STANDARD = f"{_JOIN}*{_BODY}(?:{_JOIN}+{_BODY})*{_JOIN}*"
+SQL["tokens_standard"] = f"WITH {src()},\n{tokens(pattern=_STANDARD)}\nSELECT doc_id, position, surface, term, start, \"end\" FROM tokens"
 SQL["expand_tokens_punct"] = f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\S+')) AS x FROM documents WHERE text IS NOT NULL)
 SELECT DISTINCT doc_id, token FROM (
   SELECT doc_id, x AS token FROM w
-  UNION ALL SELECT doc_id, unnest(regexp_extract_all(x, '[^\\s[:punct:]]+')) FROM w
+  UNION ALL SELECT doc_id, unnest(regexp_extract_all(x, '[\\p{{L}}\\p{{N}}_]+|[.,!?;"'']')) FROM w
   UNION ALL SELECT doc_id, translate(x, '{PUNCT}', '') FROM w)"""
 
 # --- A ------------------------------------------------------------------------------------

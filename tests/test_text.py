@@ -70,6 +70,10 @@ def test_porter_udf_and_map(spark):
 def test_expand_and_strip(spark):
     got = _one(spark, X.expand_punct(F.array(F.col("t"))), "22-year-old")
     assert set(got) == {"22-year-old", "22", "year", "old", "22yearold"}
+    # underscores join, marks are pieces of their own, other punctuation only separates
+    got = _one(spark, X.expand_punct(F.array(F.col("t"))), "snake_case's(end)!?")
+    assert set(got) == {"snake_case's(end)!?", "snake_case", "'", "s", "end", "!", "?", "snakecasesend"}
+    assert set(_one(spark, X.expand_punct(F.array(F.col("t"))), "--")) == {"--", ""}
     assert _one(spark, X.strip_punct("t"), "U.S.") == "US"
 
 
