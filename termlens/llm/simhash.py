@@ -14,8 +14,9 @@ together grow with the corpus and have no size bound.  A shard of more than ``MA
 members is split: every part gets the tree and one slice of the queries.
 
 A shard emits a spanning forest of its links, never all pairs.  The components of the links are
-found by minimum labels and pointer jumping with a reliable checkpoint per round.  Equal
-fingerprints are one class from the start, so copies cost one row.
+found by minimum labels and pointer jumping with a reliable checkpoint per round; the label of a
+large component is a hot key, and its joins are salted.  Equal fingerprints are one class
+from the start, so copies cost one row.
 
 Defined results: a text without words (null, empty, blank) has fingerprint zero and is linked
 like any other; a null id can be a row but is never a component's id unless all its ids are
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termlens.llm.common import checkpoint, expand, tidy
+from termlens.operators.skew import salted_join
 
 SEED = 42
 BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
@@ -231,8 +233,10 @@ def components(pairs: DataFrame) -> DataFrame:
             .groupBy(F.col("src").alias("node")).agg(F.min("label").alias("heard")))
         told = checkpoint(labels.join(heard, "node").select(
             "node", F.least("label", "heard").alias("label"), F.col("label").alias("was")))
+        up = told.groupBy("label").agg(F.count("*").alias("n")).join(
+            told.select(F.col("node").alias("label"), F.col("label").alias("up")), "label")
         jumped = checkpoint(
-            told.join(told.select(F.col("node").alias("label"), F.col("label").alias("up")), "label")
+            salted_join(told, up, ["label"], "n", told.select(F.count("*")).scalar(), "node")
             .select("node", F.least("label", "up").alias("label"), "was"))
         labels = jumped.select("node", "label")
         if not jumped.filter("label <> was").limit(1).count():
@@ -243,13 +247,15 @@ def classed(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: s
     """(doc_id, text_hash, fp, label, component_id) of every row; ``label`` names the component
     even where ids repeat."""
     rows = checkpoint(fingerprints(docs, shingle, id_col, text_col))
-    classes = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")))
+    classes = checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("copies")))
     labels = components(links(classes, radius)).withColumnRenamed("node", "fp")
     tied = checkpoint(classes.join(labels, "fp"))
-    smallest = checkpoint(tied.groupBy("label").agg(F.min("smallest").alias("component_id")))
-    alone = classes.join(labels, "fp", "left_anti").select("fp", F.col("fp").alias("label"), "smallest")
-    named = checkpoint(tied.join(smallest, "label").select("fp", "label", "component_id").union(alone))
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "label", "component_id")
+    smallest = checkpoint(tied.groupBy("label").agg(F.min("smallest").alias("component_id"), F.count("*").alias("n")))
+    joined = salted_join(tied, smallest, ["label"], "n", smallest.select(F.sum("n")).scalar(), "fp")
+    alone = classes.join(labels, "fp", "left_anti").select("fp", F.col("fp").alias("label"), "smallest", "copies")
+    named = checkpoint(joined.select("fp", "label", "component_id", "copies").union(alone))
+    found = salted_join(rows, named, ["fp"], "copies", named.select(F.sum("copies")).scalar(), "doc_id")
+    return found.select("doc_id", "text_hash", "fp", "label", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id",
