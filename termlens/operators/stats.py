@@ -59,15 +59,28 @@ def foreground(docs: DataFrame, group_col: str, text_col: str = "text", id_col:
             .where(F.col("fg_count") >= min_doc_count))
 
 
+def sample_shard(id_col: str, shards: int) -> Column:
+    """The shard of a document, 0 to ``shards - 1``, by a hash of its id."""
+    return F.pmod(F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("bigint"), F.lit(shards))
+
+
+def hit_counts(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id", name: str = "hits") -> DataFrame:
+    """``docs`` with the number of ``hits`` rows of each document, 0 where it has none."""
+    counts = hits.groupBy(id_col).agg(F.count(F.lit(1)).cast("bigint").alias(name))
+    return docs.join(counts, id_col, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+
+
 def sampled_foreground(docs: DataFrame, group_col: str, score: Column, shard_size: int = 100,
-                       id_col: str = "doc_id") -> DataFrame:
-    """A5: at most ``shard_size`` best documents per group (score descending, id
-    ascending).  ``shard_size < 0`` keeps every document.  The window carries a group
-    limit, so Spark keeps only the top rows of each group before the shuffle."""
+                       id_col: str = "doc_id", shards: int = 1) -> DataFrame:
+    """A5: at most ``shard_size`` best documents per group and shard (score descending, id
+    ascending).  ``shard_size < 0`` keeps every document.  The window carries a limit, so every
+    map task hands on the best rows of each (group, shard) only, and a group that holds most
+    documents is ranked in ``shards`` tasks."""
     if shard_size is None or shard_size < 0:
         return docs
-    w = Window.partitionBy(group_col).orderBy(score.desc(), F.col(id_col))
-    return docs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= shard_size).drop("_rn")
+    w = Window.partitionBy(group_col, "_shard").orderBy(score.desc(), F.col(id_col))
+    return docs.withColumn("_shard", sample_shard(id_col, shards)).withColumn("_rn", F.row_number().over(w)).where(
+        F.col("_rn") <= shard_size).drop("_rn", "_shard")
 
 
 def drop_duplicate_passages(tokens: DataFrame, group_col: str, shingle: int = 6,
@@ -120,7 +133,7 @@ def _xlogx_term(k: Column, row: Column, col: Column, n: Column) -> Column:
 def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", id_col: str = "doc_id",
                       analyzer: str = "lower", min_doc_count: int = 1, size: int = 10,
                       heuristic: str = "lift", background_df: DataFrame | None = None,
-                      shard_size: int | None = None, sample_score: Column | None = None,
+                      shard_size: int | None = None, sample_score: Column | None = None, sample_shards: int = 1,
                       filter_duplicate_text: bool = False, shingle: int = 6) -> DataFrame:
     """A4 for document groups: terms over-represented in each group's documents
     (foreground) against the whole collection (background, which contains them).
@@ -141,7 +154,7 @@ def significant_terms(docs: DataFrame, group_col: str, text_col: str = "text", i
     fdocs = docs.where(F.col(text_col).isNotNull())
     if shard_size is not None and shard_size >= 0:
         fdocs = sampled_foreground(fdocs, group_col, sample_score if sample_score is not None else F.lit(0),
-                                   shard_size, id_col)
+                                   shard_size, id_col, sample_shards)
     if filter_duplicate_text:
         toks = TK.tokenize(fdocs, text_col, id_col, analyzer).join(fdocs.select(id_col, group_col), id_col)
         pairs = drop_duplicate_passages(toks, group_col, shingle, id_col).select(group_col, id_col, "term").distinct()

@@ -36,6 +36,7 @@ WINDOW = 3
 GROUP_MIN_DOCS = 2
 GROUP_TOP = 10
 SAMPLE_SIZE = 5
+SAMPLE_SHARDS = 3
 RANDOM_SEED = 7
 SENTENCES_PER_DOC = 3
 MIN_BG_FILTER = 5
@@ -197,6 +198,15 @@ def sampled_foreground(spark, sf):
     return ST.sampled_foreground(d, "source", F.col("n_chars"), SAMPLE_SIZE).select("source", "doc_id")
 
 
+@query("sampled_foreground_hits")
+def sampled_foreground_hits(spark, sf):
+    """The sampler as the request means it: per shard of each group, the documents with most hits."""
+    d = _docs(spark, sf).where(F.col("text").isNotNull())
+    scored = ST.hit_counts(d, _hits(spark, sf))
+    return ST.sampled_foreground(scored, "source", F.col("hits"), SAMPLE_SIZE, shards=SAMPLE_SHARDS).select(
+        "source", "doc_id", "hits")
+
+
 @query("drop_duplicate_passages")
 def drop_duplicate_passages(spark, sf):
     d = _docs(spark, sf)
@@ -505,9 +515,7 @@ def rejected_updates(spark, sf):
 @query("merge_by_mode")
 def merge_by_mode(spark, sf):
     """U4: the same updates under either sink behaviour."""
-    out = [U.merge(_target(spark, sf), _updates(spark, sf), mode, fields=["keywords"]).withColumn("mode", F.lit(mode))
-           for mode in U.MODES]
-    return out[0].unionByName(out[1])
+    return U.merge_modes(_target(spark, sf), _updates(spark, sf), fields=["keywords"])
 
 
 @query("update_counts")

@@ -250,22 +250,25 @@ SQL["sampled_foreground"] = f"""SELECT source, doc_id FROM (
   SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rn
   FROM documents WHERE text IS NOT NULL) WHERE rn <= {C.SAMPLE_SIZE}"""
 _SH = C.SHINGLE
+_SHARD = f"('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % {C.SAMPLE_SHARDS}"
 
 
 def dedup(tl: str = "tl", grp: str = "lang", shingle: int = _SH) -> str:
-    """CTEs sh0 .. dr over token rows ``tl(doc_id, position, term, grp)``; ``dr`` holds
-    the (grp, doc_id, position) of tokens covered only by repeated passages."""
-    leads = ", ".join(f"lead(term, {i}) OVER (PARTITION BY doc_id ORDER BY position)" for i in range(1, shingle))
-    return f"""sh0 AS (SELECT {grp}, doc_id, position, concat_ws(chr(1), term, {leads}) AS shingle,
-          lead(term, {shingle - 1}) OVER (PARTITION BY doc_id ORDER BY position) IS NOT NULL AS is_full FROM {tl}),
-sh AS (SELECT {grp}, doc_id, position, shingle FROM sh0 WHERE is_full),
-own AS (SELECT {grp}, shingle, arg_min(doc_id, (doc_id, position)) AS od, arg_min(position, (doc_id, position)) AS op
-        FROM sh GROUP BY {grp}, shingle),
-dup AS (SELECT s.{grp}, s.doc_id, s.position FROM sh s JOIN own o USING ({grp}, shingle) WHERE s.doc_id <> o.od OR s.position <> o.op),
-kd AS (SELECT * FROM sh ANTI JOIN dup USING ({grp}, doc_id, position)),
-keep AS (SELECT DISTINCT s.{grp}, s.doc_id, s.position + rr.r AS position FROM kd s, range({shingle}) AS rr(r)),
-cov AS (SELECT DISTINCT d.{grp}, d.doc_id, d.position + rr.r AS position FROM dup d, range({shingle}) AS rr(r)),
-dr AS (SELECT * FROM cov ANTI JOIN keep USING ({grp}, doc_id, position))"""
+    """CTEs sh .. dr over token rows ``tl(doc_id, position, term, grp)``; ``dr`` holds
+    the (grp, doc_id, position) of tokens covered only by repeated passages.  A passage is known by
+    a hash; one window over a document's positions tells what covers each token."""
+    leads = ", ".join(f"lead(term, {i}) OVER w" for i in range(1, shingle))
+    return f"""sh AS (SELECT {grp}, doc_id, position, CASE WHEN lead(term, {shingle - 1}) OVER w IS NOT NULL
+          THEN md5_number(concat_ws(chr(1), term, {leads})) END AS passage
+        FROM {tl} WINDOW w AS (PARTITION BY doc_id ORDER BY position)),
+own AS (SELECT {grp}, passage, min((doc_id, position)) AS o FROM sh WHERE passage IS NOT NULL AND {grp} IS NOT NULL GROUP BY {grp}, passage),
+fl AS (SELECT s.{grp}, s.doc_id, s.position, coalesce((s.doc_id, s.position) = o.o, FALSE) AS kept,
+         coalesce((s.doc_id, s.position) <> o.o, FALSE) AS copied
+       FROM sh s LEFT JOIN own o USING ({grp}, passage)),
+dr AS (SELECT {grp}, doc_id, position FROM (
+         SELECT *, max(copied) OVER v AS c, max(kept) OVER v AS k FROM fl
+         WINDOW v AS (PARTITION BY doc_id ORDER BY position ROWS BETWEEN {shingle - 1} PRECEDING AND CURRENT ROW))
+       WHERE c AND NOT k)"""
 
 
 SQL["drop_duplicate_passages"] = f"""WITH {src()},
@@ -299,6 +302,11 @@ SQL["min_bg_filter"] = f"WITH {src()},\n{keyterms()}\nSELECT term, bg_count FROM
 _BASE = _raw_base()
 SQL["keyterm_occurrences"] = f"WITH {_BASE}\nSELECT doc_id, term, position, start, \"end\" FROM hits"
 SQL["keyterm_hits"] = f"WITH {_BASE}\nSELECT doc_id, position, surface, term, start, \"end\" FROM hits"
+SQL["sampled_foreground_hits"] = f"""WITH {_BASE},
+nh AS (SELECT d.doc_id, d.source, (SELECT count(*) FROM hits h WHERE h.doc_id = d.doc_id) AS hits
+       FROM documents d WHERE text IS NOT NULL)
+SELECT source, doc_id, CAST(hits AS BIGINT) AS hits FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, {_SHARD} ORDER BY hits DESC, doc_id) AS rn FROM nh) WHERE rn <= {C.SAMPLE_SIZE}"""
 for _key in ("surface", "term"):
     SQL[f"offsets_by_{_key}"] = (
         f"WITH {_BASE}\nSELECT doc_id, {_key}, min(start) OVER w AS first_start, "

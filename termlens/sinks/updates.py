@@ -91,15 +91,27 @@ def merge(target: DataFrame, updates: DataFrame, mode: str = "update", id_col: s
     return chosen(target, updates, id_col, fields, with_status, order_col)
 
 
+def merge_modes(target: DataFrame, updates: DataFrame, id_col: str = "doc_id", fields: Iterable[str] | None = None,
+                order_col: str | None = None) -> DataFrame:
+    """The merged table of every mode, told apart by ``mode``, from one join of the updates."""
+    merged = _merge(target, updates, id_col, fields, "full_outer", order_col)
+    modes = F.when(F.col("_status") == "inserted", F.array(F.lit("upsert"))).otherwise(F.array(*map(F.lit, MODES)))
+    return merged.select("*", F.explode(modes).alias("mode")).drop("_status")
+
+
 def update_counts(target: DataFrame, updates: DataFrame, id_col: str = "doc_id", mode: str = "update",
                   fields: Iterable[str] | None = None, order_col: str | None = None) -> DataFrame:
-    """Rows per status (updated / unchanged / inserted / rejected)."""
-    merged = merge(target, updates, mode, id_col, fields, True, order_col)
-    counts = merged.groupBy(F.col("_status").alias("status")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    """Rows per status (updated / unchanged / inserted / rejected), from one join: what an
+    upsert inserts, an update rejects."""
+    check_mode(mode)
+    merged = _merge(target, updates, id_col, fields, "full_outer", order_col)
+    status = F.col("_status")
     if mode == "update":
-        rej = rejected_updates(target, updates, id_col).agg(F.lit("rejected").alias("status"),
-                                                            F.count(F.lit(1)).cast("bigint").alias("n"))
-        counts = counts.unionByName(rej)
+        status = F.when(status == "inserted", "rejected").otherwise(status)
+    counts = merged.groupBy(status.alias("status")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    if mode == "update":  # told even if there is none
+        none = target.sparkSession.range(1).select(F.lit("rejected").alias("status"), F.lit(0).cast("bigint").alias("n"))
+        counts = counts.unionByName(none).groupBy("status").agg(F.sum("n").alias("n"))
     return counts
 
 
