@@ -27,6 +27,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--output", required=True)
     p.add_argument("--format", default="parquet")
     p.add_argument("--id-field", default="doc_id")
+    p.add_argument("--body-field", default=None, help="VARIANT column that holds fields without a schema")
     p.add_argument("--mode", choices=("update", "upsert", "results"), default="update",
                    help="merge into the input rows, upsert, or write the result rows only")
     p.add_argument("--keywords-field-name", default="keywords")
@@ -55,7 +56,7 @@ def parse(argv=None) -> argparse.Namespace:
 
 def config(a: argparse.Namespace) -> ExtractConfig:
     return ExtractConfig(
-        keyword_col=a.keyword_field, highlight_col=a.highlight_field, id_col=a.id_field,
+        keyword_col=a.keyword_field, highlight_col=a.highlight_field, id_col=a.id_field, body_col=a.body_field,
         use_termvectors=a.use_termvectors, max_doc_keyterms=a.max_doc_keyterms, min_bg_count=a.min_bg_count,
         keyword_stopwords=None if a.stopwords == "none" else a.stopwords,
         must_have_fields=tuple(a.must_have_fields), must_not_have_fields=tuple(a.must_not_have_fields),

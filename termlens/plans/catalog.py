@@ -24,6 +24,7 @@ from ..operators import select as SEL
 from ..operators import stats as ST
 from ..operators import tokens as TK
 from ..session import ensure_checkpoint_dir
+from ..sinks import deltas as DT
 from ..sinks import updates as U
 from ..sources import documents as SRC
 from . import extract as E
@@ -523,6 +524,31 @@ def update_counts(spark, sf):
     return U.update_counts(_target(spark, sf), _updates(spark, sf), mode="update", fields=["keywords"])
 
 
+def _delta_table(spark, sf):
+    path = f"{ensure_checkpoint_dir(spark)}/termlens-deltas-{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return DT.DeltaTable.create(_target(spark, sf), path, "doc_id", buckets)
+
+
+@query("delta_updates")
+def delta_updates(spark, sf):
+    """U1 as delta files beside a bucketed table, merged on read."""
+    table = _delta_table(spark, sf)
+    table.update(_updates(spark, sf), "update", ["keywords"])
+    return table.read()
+
+
+@query("delta_upserts")
+def delta_upserts(spark, sf):
+    """U2 in two deltas with the table compacted between them."""
+    table = _delta_table(spark, sf)
+    updates = _updates(spark, sf)
+    table.update(updates.where(F.col("doc_id") < UNKNOWN_ID_BASE), "update", ["keywords"])
+    table = table.compact()
+    table.update(updates.where(F.col("doc_id") >= UNKNOWN_ID_BASE), "upsert", ["keywords"])
+    return table.read()
+
+
 # --- V: audits (invariants: zero violations, something checked) ---------------------------------
 
 def _audit(df):

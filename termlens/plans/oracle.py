@@ -450,6 +450,9 @@ UNION ALL
 SELECT 'rejected', CAST(count(*) AS BIGINT) FROM upd WHERE doc_id NOT IN (SELECT doc_id FROM tgt)"""
 
 # --- V: no violation, and as many things checked as the SQL extraction reports --------------
+SQL["delta_updates"] = SQL["apply_updates"]
+SQL["delta_upserts"] = SQL["upsert_updates"]
+
 def _checked(name: str, counted: str) -> str:
     return f"SELECT '{name}' AS \"check\", CAST(0 AS BIGINT) AS violations, CAST(count(*) AS BIGINT) AS checked FROM {counted}"
 
