@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from termlens.llm.common import checkpoint
 
 SCALE, PIVOTS, SAMPLE, ANNULUS, QUERIES, SLACK = 64, 32, 2048, 2048, 16384, 1e-6
-#: Annuli of one partition are numbered from its number times ``2**32``; a run is ``2**RING_BITS`` of them.
+#: A run is ``2**RING_BITS`` annuli in the order of the keys.
 RING_BITS = 12
 
 
@@ -113,18 +113,26 @@ def build(found: DataFrame, pivots: np.ndarray, top: float) -> DataFrame:
                     names=["pivot", "dist", "vec", "ids", "asks"])
 
     columns = "pivot int, dist double, vec binary, ids array<long>, asks boolean"
-    size = ANNULUS
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, seen = TaskContext.get().partitionId() << 32, 0
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
-            annulus = first + (seen + np.arange(batch.num_rows)) // size
-            seen += batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(annulus), *batch.columns], names=["annulus", *batch.schema.names])
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, piece)), pa.array(np.arange(seen, seen + n)), *batch.columns],
+                names=["piece", "nth", *batch.schema.names])
+            seen += n
 
     keyed = found.select("vec", "ids", "asks").mapInArrow(key, columns)
-    ranged = keyed.repartitionByRange("pivot", "dist", "vec").sortWithinPartitions("pivot", "dist", "vec")
-    return checkpoint(ranged.mapInArrow(cut, f"annulus long, {columns}"))
+    ranged = checkpoint(
+        keyed.repartitionByRange("pivot", "dist", "vec").sortWithinPartitions("pivot", "dist", "vec")
+        .mapInArrow(number, f"piece long, nth long, {columns}"))
+    # where each range begins in the whole order: as many rows as ranges
+    upto = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ranged.groupBy("piece").agg(F.count("*").alias("n")).select(
+        "piece", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("begin"))
+    place = F.col("begin") + F.col("nth")
+    return ranged.join(F.broadcast(begins), "piece").withColumn("annulus", F.floor(place / ANNULUS)).drop("piece", "nth", "begin")
 
 
 def search_annulus(q: np.ndarray, floor: np.ndarray, rows: pd.DataFrame, pivots: np.ndarray, top: float, k: int):
