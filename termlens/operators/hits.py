@@ -36,6 +36,21 @@ def hit_arrays(hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sort_array(F.collect_list(F.struct("start", "end", "position", "surface", "term"))).alias("hits"))
 
 
+def stored_hits(text: Column, terms: Column, starts: Column, ends: Column, kt: Column) -> Column:
+    """H1 from a stored term vector (aligned arrays in text order): the hit array of one document,
+    null without a hit.  No token is looked for again, no row per token is made."""
+    def hit(i):
+        at = i + 1
+        start, end = F.element_at(starts, at), F.element_at(ends, at)
+        return F.struct(start.alias("start"), end.alias("end"), i.cast("bigint").alias("position"),
+                        F.substring(text, start.cast("int") + 1, (end - start).cast("int")).alias("surface"),
+                        F.element_at(terms, at).alias("term"))
+
+    # both arrays are bound once: the positions of keyterms, then their hits
+    found = F.filter(F.transform(terms, lambda t, i: F.when(F.array_contains(kt, t), i)), lambda i: i.isNotNull())
+    return X.let(F.transform(found, hit), lambda h: F.when(F.size(h) > 0, h))
+
+
 def offsets_by(hits: DataFrame, key: str, id_col: str = "doc_id") -> DataFrame:
     """A8 (``key='surface'``) / A9 (``key='term'``): ``(id, key, offsets, first_start)``."""
     return hits.groupBy(id_col, key).agg(

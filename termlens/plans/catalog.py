@@ -356,6 +356,24 @@ def analyzed_contexts_vocab(spark, sf):
     return E.flatten_contexts(E.extract(_docs(spark, sf), cfg), cfg)
 
 
+def _stored_vectors(spark, sf, cfg):
+    folder = f"{ensure_checkpoint_dir(spark)}/termlens-vectors-{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    E.store_term_vectors(_docs(spark, sf), cfg, folder, buckets)
+    return DT.open_bucketed(spark, folder, "doc_id", buckets)
+
+
+@query("extract_stored_vectors")
+def extract_stored_vectors(spark, sf):
+    """Raw extraction from term vectors stored by id: each text is tokenised once, when stored."""
+    return E.flatten_result(E.extract_stored(_stored_vectors(spark, sf, RAW), RAW), RAW)
+
+
+@query("contexts_stored_vectors")
+def contexts_stored_vectors(spark, sf):
+    return E.flatten_contexts(E.extract_stored(_stored_vectors(spark, sf, LIGHT), LIGHT), LIGHT)
+
+
 @query("extract_analyzed_porter")
 def extract_analyzed_porter(spark, sf):
     return E.flatten_result(E.extract(_docs(spark, sf), PORTER), PORTER)

@@ -30,6 +30,7 @@ from ..operators import select as SEL
 from ..operators import stats as ST
 from ..operators import tokens as TK
 from ..session import ensure_checkpoint_dir
+from ..sinks import deltas as DT
 from ..sources import documents as SRC
 
 
@@ -149,7 +150,12 @@ def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame
     base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
     hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
     per = base.join(H.hit_arrays(hits, idc), idc, "left")
-    # results are written back by id, and keyterms of rows that share one could not be told apart
+    return _refuse_repeated(per, idc)
+
+
+def _refuse_repeated(per: DataFrame, idc: str) -> DataFrame:
+    """Results are written back by id, and keyterms of rows that share one could not be told apart:
+    their hits raise."""
     alone = F.count(F.lit(1)).over(Window.partitionBy(idc)) == 1
     kind = per.schema["hits"].dataType
     return per.withColumn("_alone", alone).withColumn("hits", F.when(F.col("_alone"), F.col("hits")).otherwise(
@@ -165,6 +171,39 @@ def per_document_hits(docs: DataFrame, cfg: ExtractConfig, background: DataFrame
     return _with_hits(docs, H.keyterm_sets(keyterms(docs, cfg, background, n_docs), cfg.id_col), cfg)
 
 
+def store_term_vectors(docs: DataFrame, cfg: ExtractConfig, folder: str, buckets: int, keep: tuple = ()) -> None:
+    """The documents with the term vector of their keyword field, written once: bucketed by id,
+    ``(id, _text, _terms, _starts, _ends, keep...)`` with aligned arrays in text order.  ``keep``
+    names further columns (for example those of ``must_have_fields``).  ``buckets`` should not be less
+    than the shuffle partitions, or Spark deals the buckets anew."""
+    docs, cfg = _with_fields(docs, cfg)
+    idc = cfg.id_col
+    rows = docs.where(F.col(idc).isNotNull() & F.col(cfg.keyword_col).isNotNull())
+    terms = TK.analyze_array(TK.token_array(cfg.keyword_col, cfg.term_analyzer), cfg.term_analyzer)
+    rows = rows.select(idc, F.col(cfg.keyword_col).alias("_text"), terms.alias(STAGED), *keep)
+    tokens = TK.tokenize(rows, "_text", idc, cfg.term_analyzer, terms_col=STAGED)
+    places = tokens.groupBy(idc).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_p"))
+    none = F.array().cast("array<bigint>")
+    DT.write_bucketed(rows.join(places, idc, "left").select(
+        idc, "_text", STAGED, F.coalesce(F.col("_p.start"), none).alias("_starts"), F.coalesce(F.col("_p.end"), none).alias("_ends"),
+        *keep), folder, idc, buckets)
+
+
+def extract_stored(vectors: DataFrame, cfg: ExtractConfig, background: DataFrame | None = None,
+                   n_docs: Column | None = None) -> DataFrame:
+    """E1 from stored term vectors (``open_bucketed``): the same result as ``extract`` with the same
+    settings and no tokeniser in the plan.  Background, candidates and hits read the stored terms;
+    the texts stay in their buckets, only terms, counts and keyterms are exchanged."""
+    # every stored row has a text: the branches that need terms only do not read it
+    vectors, cfg = vectors.withColumn("_stored", F.lit(True)), cfg.with_(keyword_col="_stored", highlight_col=None)
+    _check(cfg)
+    kts = H.keyterm_sets(keyterms(vectors, cfg, background, n_docs), cfg.id_col)
+    per = eligible(vectors, cfg).join(kts, cfg.id_col, "left").withColumn(
+        "hits", H.stored_hits(F.col("_text"), F.col(STAGED), F.col("_starts"), F.col("_ends"), F.col("kt")))
+    per = _refuse_repeated(per, cfg.id_col).withColumnRenamed("_text", "_hl")
+    return _analyzed_result(per, cfg) if cfg.use_termvectors else _raw_result(per, cfg)
+
+
 def _raw_result(per: DataFrame, cfg: ExtractConfig) -> DataFrame:
     h = F.col("hits")
     step = per.select(cfg.id_col, "_hl", "hits",

@@ -450,6 +450,8 @@ UNION ALL
 SELECT 'rejected', CAST(count(*) AS BIGINT) FROM upd WHERE doc_id NOT IN (SELECT doc_id FROM tgt)"""
 
 # --- V: no violation, and as many things checked as the SQL extraction reports --------------
+SQL["extract_stored_vectors"] = SQL["extract_raw"]
+SQL["contexts_stored_vectors"] = SQL["analyzed_contexts"]
 SQL["delta_updates"] = SQL["apply_updates"]
 SQL["delta_upserts"] = SQL["upsert_updates"]
 

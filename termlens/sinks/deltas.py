@@ -39,19 +39,14 @@ class DeltaTable:
 
     @classmethod
     def create(cls, df: DataFrame, path: str, id_col: str = "doc_id", buckets: int = 200) -> "DeltaTable":
-        """Write ``df`` as the first generation.  ``buckets`` is the number of tasks of a later read; ids
-        must be unique (a repeated one raises)."""
+        """Write ``df`` as the first generation.  ``buckets`` is the number of tasks of a later read, not
+        less than the shuffle partitions, or Spark deals the base anew; ids must be unique (a
+        repeated one raises)."""
         _write_generation(df, path, 0, id_col, buckets)
         return cls(df.sparkSession, path)
 
     def _base(self) -> DataFrame:
-        name = _table(self.path, self.gen)
-        if not self.spark.catalog.tableExists(name):  # written by another session
-            folder = f"{self.path}/base/_gen={self.gen}"
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(folder).schema.fields)
-            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{self.id_col}`) "
-                           f"SORTED BY (`{self.id_col}`) INTO {self.buckets} BUCKETS LOCATION '{folder}'")
-        return self.spark.table(name)
+        return open_bucketed(self.spark, f"{self.path}/base/_gen={self.gen}", self.id_col, self.buckets)
 
     def _deltas(self) -> tuple[DataFrame | None, list[tuple[str, int]]]:
         root = f"{self.path}/deltas/_gen={self.gen}"
@@ -108,14 +103,29 @@ class DeltaTable:
         return DeltaTable(self.spark, self.path)
 
 
-def _table(path: str, gen: int) -> str:
-    return f"termlens_{hashlib.sha256(path.encode()).hexdigest()[:20]}_{gen}"
-
-
 def _write_generation(df: DataFrame, path: str, gen: int, id_col: str, buckets: int) -> None:
-    # dealt like the buckets: one file each
-    rows = one_per_id(df, id_col).repartition(buckets, id_col)
-    rows.write.mode("overwrite").bucketBy(buckets, id_col).sortBy(id_col).format("parquet").option(
-        "path", f"{path}/base/_gen={gen}").saveAsTable(_table(path, gen))
+    write_bucketed(one_per_id(df, id_col), f"{path}/base/_gen={gen}", id_col, buckets)
     df.sparkSession.range(1).select(F.lit(id_col).alias("id_col"), F.lit(buckets).alias("buckets")).coalesce(1).write.mode(
         "overwrite").parquet(f"{path}/meta/_gen={gen}")
+
+
+# --- bucketed files -------------------------------------------------------------------------
+
+def _table(folder: str) -> str:
+    return f"termlens_{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+
+
+def write_bucketed(df: DataFrame, folder: str, id_col: str, buckets: int) -> None:
+    """``df`` as a parquet folder bucketed and sorted by id, one file per bucket."""
+    df.repartition(buckets, id_col).write.mode("overwrite").bucketBy(buckets, id_col).sortBy(id_col).format("parquet").option(
+        "path", folder).saveAsTable(_table(folder))
+
+
+def open_bucketed(spark: SparkSession, folder: str, id_col: str, buckets: int) -> DataFrame:
+    """A bucketed folder, also one that another session wrote: joins and groupings by id take it as
+    it lies."""
+    if not spark.catalog.tableExists(_table(folder)):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema.fields)
+        spark.sql(f"CREATE TABLE {_table(folder)} ({columns}) USING parquet CLUSTERED BY (`{id_col}`) "
+                  f"SORTED BY (`{id_col}`) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    return spark.table(_table(folder))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termlens.sinks import updates as U
-from termlens.sinks.deltas import DeltaTable
+from termlens.sinks.deltas import DeltaTable, _table
 
 
 def rows(df):
@@ -53,7 +53,7 @@ def test_deltas_take_effect_in_order(spark, tmp_path):
     assert rows(table.read().select(sorted(want.columns))) == rows(want.select(sorted(want.columns)))
     compacted = table.compact()
     assert compacted.gen == 1 and rows(compacted.read().select(sorted(want.columns))) == rows(want.select(sorted(want.columns)))
-    spark.sql(f"DROP TABLE IF EXISTS {__import__('termlens.sinks.deltas', fromlist=['x'])._table(str(tmp_path / 't'), 1)}")
+    spark.sql(f"DROP TABLE {_table(str(tmp_path / 't/base/_gen=1'))}")
     again = DeltaTable(spark, str(tmp_path / "t"))  # as another session opens it
     assert rows(again.read().select(sorted(want.columns))) == rows(want.select(sorted(want.columns)))
 
