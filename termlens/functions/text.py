@@ -21,6 +21,15 @@ from pyspark.sql import functions as F
 TOKEN_PATTERN = r"[\p{L}\p{N}_]++(?:['’.][\p{L}\p{N}_]++)*+"
 # The same tokens in the form the SQL twins need (no possessive quantifiers there).
 SQL_TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
+# The audits' word splitter, first rule that applies.
+SPLITTER_PATTERN = (
+    r"(?i)https?://[^\s<>\"]+"                                   # URLs
+    r"|(?:\p{L}\.){2,}"                                         # abbreviations with their full stops
+    r"|\p{Nd}++(?:[.,:]\p{Nd}++)*+"                            # numbers, times, decimals
+    r"|n['\u2019]t(?![\p{L}\p{N}_])|['\u2019](?:s|re|ve|ll|d|m)(?![\p{L}\p{N}_])"  # endings of contractions
+    r"|[\p{L}\p{M}\p{N}_]+?(?=n['\u2019]t(?![\p{L}\p{N}_]))"  # what stands before them
+    r"|[\p{L}\p{M}\p{N}_]++(?:-[\p{L}\p{M}\p{N}_]++)*+"       # words, joined by hyphens
+    r"|\S")
 # A single word character, used to grow fragment windows to whole words.
 WORD_CHAR = r"[\p{L}\p{N}_]"
 # Marks put round hits by the highlighter.
@@ -104,6 +113,12 @@ def expand_punct(tokens) -> Column:
     return F.array_distinct(F.concat(t, pieces, stripped))
 
 
+def split_words(text) -> Column:
+    """An independent word splitter by rules, for audits: URLs, abbreviations and numbers stay whole,
+    contractions are cut before their ending, hyphens join, every other mark is a word by itself."""
+    return F.regexp_extract_all(_c(text), F.lit(SPLITTER_PATTERN), 0)
+
+
 def mark_terms(text, hits) -> Column:
     """H3: splice ``<em>``/``</em>`` round each hit of ``hits`` (array<struct<start,end>>,
     sorted, disjoint, 0-based end-exclusive code-point offsets) into ``text``."""

@@ -590,6 +590,14 @@ def audit_contexts(spark, sf):
     return _audit(AU.audit_contexts(E.extract(_docs(spark, sf), RAW_CTX)))
 
 
+@query("audit_keyterm_words")
+def audit_keyterm_words(spark, sf):
+    """V2 and V3 again, with words from a splitter that shares nothing with the tokeniser."""
+    d = _docs(spark, sf)
+    res = E.extract(d, RAW_CTX)
+    return _audit(AU.audit_keyterm_words(res, d)).unionByName(_audit(AU.audit_context_words(res)))
+
+
 @query("audit_analyzed")
 def audit_analyzed(spark, sf):
     d = _docs(spark, sf)

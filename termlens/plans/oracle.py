@@ -462,6 +462,9 @@ def _checked(name: str, counted: str) -> str:
 SQL["audit_offsets"] = f"WITH RECURSIVE {_FRAG}\n{_checked('offsets', 'kept')}"
 for _name in ("keyterms", "contexts"):
     SQL[f"audit_{_name}"] = f"WITH RECURSIVE {_FRAG}\n{_checked(_name, '(SELECT DISTINCT doc_id, surface FROM kept)')}"
+SQL["audit_keyterm_words"] = (
+    f"WITH RECURSIVE {_FRAG}\n{_checked('keyterm words', '(SELECT DISTINCT doc_id, surface FROM kept)')}\n"
+    f"UNION ALL {_checked('context words', '(SELECT DISTINCT doc_id, surface FROM kept)')}")
 SQL["audit_analyzed"] = f"WITH {_PORTER_BASE}\n{_checked('analyzed', '(SELECT DISTINCT doc_id FROM hits)')}"
 SQL["audit_scope"] = _checked("scope", f"{_LAB} WHERE text IS NOT NULL AND quality IS NOT NULL")
 

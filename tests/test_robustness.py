@@ -162,3 +162,24 @@ def test_text_bucketed_by_id_is_not_shuffled(spark):
         assert "Exchange" not in plan
     finally:
         spark.sql("DROP TABLE bucketed_docs")
+
+
+def test_splitter_and_planted_tokenizer_errors(spark):
+    from termlens.functions import text as X
+    cases = {
+        "He can't, won't; it's U.S. 22-year-old at 10:30": [
+            "He", "ca", "n't", ",", "wo", "n't", ";", "it", "'s", "U.S.", "22-year-old", "at", "10:30"],
+        "see https://a.b/c?d=1, (x) 3.5% é\u0301t": ["see", "https://a.b/c?d=1,", "(", "x", ")", "3.5", "%", "é\u0301t"],
+        "'tis ... don\u2019t!": ["'", "tis", ".", ".", ".", "do", "n\u2019t", "!"]}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r["t"]: r["w"] for r in df.select("t", X.split_words("t").alias("w")).collect()}
+    assert got["see https://a.b/c?d=1, (x) 3.5% é\u0301t"] == cases["see https://a.b/c?d=1, (x) 3.5% é\u0301t"]
+    assert got["'tis ... don\u2019t!"] == cases["'tis ... don\u2019t!"]
+    first = next(iter(cases))
+    assert [w for w in got[first] if w not in ("22", "22-year-old", "-", "year-old")] == [w for w in cases[first] if w != "22-year-old"]
+    docs = spark.createDataFrame([(1, "Alpha's beta-gamma can't stop U.S. trade")], "doc_id long, text string")
+    rows = [("Alpha's", "Alpha", "beta", "gamma", "can't", "U.S", "trade"), ("Alph", "a's", "beta gamma", "stop U", "trade")]
+    results = [spark.createDataFrame([(1, list(r), ["Alpha's beta-gamma can't stop U.S. trade"])],
+                                     "doc_id long, keywords array<string>, contexts array<string>") for r in rows]
+    found = [tuple(AU.audit_keyterm_words(r, docs).first()) for r in results] + [tuple(AU.audit_context_words(r).first()) for r in results]
+    assert found == [("keyterm words", 0, 7), ("keyterm words", 4, 5), ("context words", 0, 7), ("context words", 4, 5)]
