@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -157,3 +158,22 @@ def test_sharding_query_is_native(spark):
     df = QUERIES["op9_sharding"](spark, SF)
     assert not re.search("Python|Pandas|MapInArrow", df._jdf.queryExecution().toString())
     assert df.select("law").distinct().collect()[0][0] == "rows"
+
+
+def test_sharding_query_rows_against_plain_python(spark, tmp_path):
+    """size, text_crc32, shard and slot of the registered query, nulls, empty and very long texts and
+    repeated rows included."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = [(90_001, None), (90_002, ""), (90_003, "é" * 400_000), (90_004, "same"), (90_004, "same"), (None, "no id")]
+    docs.unionByName(spark.createDataFrame(odd, docs.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    want = Counter()
+    for r in spark.read.parquet(str(tmp_path / "documents.parquet")).collect():
+        data = (r["text"] or "").encode()
+        want[r["doc_id"], len(data) + 1, zlib.crc32(data)] += 1
+    rows = QUERIES["op9_sharding"](spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == want
+    assert {(r["law"], r["grown_shard"]) for r in rows} == {("rows", None)}
+    shards = Counter(r["shard"] for r in rows)
+    assert sorted(shards) == list(range(16)) and max(shards.values()) - min(shards.values()) <= 1
+    for s, n in shards.items():
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(n))
