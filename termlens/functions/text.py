@@ -30,6 +30,8 @@ SPLITTER_PATTERN = (
     r"|[\p{L}\p{M}\p{N}_]+?(?=n['\u2019]t(?![\p{L}\p{N}_]))"  # what stands before them
     r"|[\p{L}\p{M}\p{N}_]++(?:-[\p{L}\p{M}\p{N}_]++)*+"       # words, joined by hyphens
     r"|\S")
+# Tokens of the white-space analyzer.
+WHITESPACE_PATTERN = r"\S+"
 # A single word character, used to grow fragment windows to whole words.
 WORD_CHAR = r"[\p{L}\p{N}_]"
 # Marks put round hits by the highlighter.

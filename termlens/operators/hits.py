@@ -36,6 +36,59 @@ def hit_arrays(hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.sort_array(F.collect_list(F.struct("start", "end", "position", "surface", "term"))).alias("hits"))
 
 
+def phrase_hit_arrays(docs_with_kt: DataFrame, text_col: str, id_col: str, analyzer: str, kt_col: str = "kt") -> DataFrame:
+    """H1 where the highlight field has an analyzer of its own: ``(id, hits)`` as ``hit_arrays``.
+
+    Every keyterm is analysed again by ``analyzer`` and may become several tokens, which must stand one
+    after the other.  At each place the longest such sequence counts (ties: the keyterm that sorts
+    first), and hits do not overlap: the one that starts first stays.  A hit's position is its first
+    token's, its term the keyterm, its surface the text from its first to its last token.
+
+    A document has at most k sequences, so its tokens are cut down to their words before they are
+    gathered, and each gathered token is compared with the k sequences only."""
+    if analyzer in TK.PYTHON_ANALYZERS:
+        raise ValueError("the analyzer of the highlight field must be a native one")
+
+    def again(k: Column) -> Column:
+        return F.struct(F.array_size(TK.analyze_array(TK.token_array(k, analyzer), analyzer)).alias("size"),
+                        TK.analyze_array(TK.token_array(k, analyzer), analyzer).alias("words"), k.alias("term"))
+
+    base = docs_with_kt.where(F.col(kt_col).isNotNull()).withColumn(
+        "_phrases", F.filter(F.transform(F.sort_array(kt_col), again), lambda p: p["size"] > 0)).withColumn(
+        "_words", F.array_distinct(F.flatten(F.col("_phrases.words"))))
+    tokens = hit_arrays(TK.tokenize(base, text_col, id_col, analyzer, flag_terms="_words"), id_col)
+
+    def at_place(phrases: Column, hs: Column):
+        def longest(h: Column, i: Column) -> Column:
+            def fits(p: Column) -> Column:
+                run = F.slice(hs, i + 1, p["size"])
+                last = F.try_element_at(run, F.lit(-1))
+                return (F.transform(run, lambda x: x["term"]) == p["words"]) & (
+                    last["position"] - h["position"] == p["size"] - 1)
+
+            found = F.filter(phrases, fits)
+            best = F.try_element_at(F.filter(found, lambda p: p["size"] == F.array_max(F.transform(found, lambda q: q["size"]))), F.lit(1))
+            return F.when(F.size(found) > 0, F.struct(
+                h["start"].alias("start"), F.element_at(hs, (i + best["size"]).cast("int"))["end"].alias("end"),
+                h["position"].alias("position"), best["term"].alias("term")))
+        return longest
+
+    def apart(candidates: Column) -> Column:
+        kept = F.array().cast("array<struct<start: bigint, end: bigint, position: bigint, term: string>>")
+        return F.aggregate(candidates, kept, lambda acc, c: F.when(
+            F.coalesce(F.try_element_at(acc, F.lit(-1))["end"] > c["start"], F.lit(False)), acc).otherwise(F.array_append(acc, c)))
+
+    places = X.let("hits", lambda hs: F.filter(F.transform(hs, at_place(F.col("_phrases"), hs)), lambda c: c.isNotNull()))
+    rows = base.select(id_col, F.col(text_col).alias("_t"), "_phrases").join(tokens, id_col).withColumn("_places", places)
+    # sequences of one word cannot overlap
+    single = F.forall("_phrases", lambda p: p["size"] == 1)
+    rows = rows.withColumn("_kept", F.when(single, F.col("_places")).otherwise(apart(F.col("_places"))))
+    return rows.where(F.size("_kept") > 0).select(id_col, F.transform("_kept", lambda c: F.struct(
+        c["start"], c["end"], c["position"],
+        F.substring(F.col("_t"), c["start"].cast("int") + 1, (c["end"] - c["start"]).cast("int")).alias("surface"),
+        c["term"])).alias("hits"))
+
+
 def stored_hits(text: Column, terms: Column, starts: Column, ends: Column, kt: Column) -> Column:
     """H1 from a stored term vector (aligned arrays in text order): the hit array of one document,
     null without a hit.  No token is looked for again, no row per token is made."""

@@ -23,6 +23,7 @@ from ..functions import text as X
 ANALYZERS = {
     "none": (X.TOKEN_PATTERN, "none"), "lower": (X.TOKEN_PATTERN, "lower"),
     "english": (X.TOKEN_PATTERN, "english"), "light": (X.TOKEN_PATTERN, "light"),
+    "whitespace": (X.WHITESPACE_PATTERN, "lower"),
     "standard_none": (G.STANDARD_PATTERN, "none"), "standard": (G.STANDARD_PATTERN, "lower"),
     "standard_english": (G.STANDARD_PATTERN, "english"), "standard_light": (G.STANDARD_PATTERN, "light"),
 }
@@ -43,7 +44,7 @@ def analyze_array(tokens: Column, analyzer: str = "lower") -> Column:
     """T4: map an array of surface tokens to an aligned array of terms.
 
     ``none``: as written; ``lower``: T2; ``english``: T2 then the Porter stemmer (T3); ``light``: T2
-    then the S-stemmer.  ``standard`` and ``standard_...`` do the same to tokens of the standard
+    then the S-stemmer; ``whitespace``: T2 over what white space parts.  ``standard`` and ``standard_...`` do the same to tokens of the standard
     segmentation (``functions.segment``).
     """
     kind = _analyzer(analyzer)[1]

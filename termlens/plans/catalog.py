@@ -392,6 +392,13 @@ def cross_field_hits(spark, sf):
     return E.flatten_result(E.extract(pages, cfg), cfg)
 
 
+@query("cross_analyzer_hits")
+def cross_analyzer_hits(spark, sf):
+    """Keyterms parted by white space, located through another analyzer that cuts them into words."""
+    cfg = RAW.with_(analyzer="whitespace", highlight_analyzer="lower")
+    return E.flatten_result(E.extract(_docs(spark, sf), cfg), cfg)
+
+
 @query("results_with_text")
 def results_with_text(spark, sf):
     d = _docs(spark, sf)

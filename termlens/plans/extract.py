@@ -45,6 +45,7 @@ class ExtractConfig:
     body_col: str | None = None
     use_termvectors: bool = False          # analysed mode (stems, word windows)
     analyzer: str | None = None            # default: 'lower' raw, 'english' analysed
+    highlight_analyzer: str | None = None  # raw mode: the highlight field's own, if it differs
     max_doc_keyterms: int = 16
     min_bg_count: int = 1
     keyword_stopwords: object = "en"       # 'en', None, a collection, or a DataFrame
@@ -77,6 +78,8 @@ class ExtractConfig:
 def _check(cfg: ExtractConfig) -> None:
     if cfg.use_termvectors and cfg.highlight != cfg.keyword_col:
         raise ValueError("with use_termvectors the highlight field must be the keyword field")
+    if cfg.use_termvectors and cfg.highlight_analyzer:
+        raise ValueError("with use_termvectors the keyword field's analyzer holds")
     if cfg.context_order not in ("position", "vocabulary"):
         raise ValueError("context_order must be 'position' or 'vocabulary'")
     if cfg.max_doc_keyterms < 1:
@@ -148,8 +151,11 @@ def _with_hits(docs: DataFrame, kts: DataFrame, cfg: ExtractConfig) -> DataFrame
     elif pre:
         cols.append(TK.analyze_array(TK.token_array(cfg.highlight, cfg.term_analyzer), cfg.term_analyzer).alias("_terms"))
     base = eligible(docs, cfg).select(*cols).join(kts, idc, "left")
-    hits = H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None)
-    per = base.join(H.hit_arrays(hits, idc), idc, "left")
+    if cfg.highlight_analyzer and cfg.highlight_analyzer != cfg.term_analyzer:
+        arrays = H.phrase_hit_arrays(base, "_hl", idc, cfg.highlight_analyzer)
+    else:
+        arrays = H.hit_arrays(H.keyterm_hits(base, "_hl", idc, cfg.term_analyzer, "kt", "_terms" if pre else None), idc)
+    per = base.join(arrays, idc, "left")
     return _refuse_repeated(per, idc)
 
 

@@ -382,6 +382,24 @@ _hsrc AS (SELECT page_id AS doc_id, body AS t FROM pf WHERE title IS NOT NULL AN
 {hits()},
 {fragments()},
 {flat_raw(elig='_elig')}""".replace("SELECT e.doc_id,", "SELECT e.doc_id AS page_id,")
+# every keyterm's words, the longest sequence at each token, then hits that do not overlap
+SQL["cross_analyzer_hits"] = f"""WITH RECURSIVE {src()},
+{tokens()},
+{keyterms(dt="SELECT DISTINCT doc_id, lower(x) AS term FROM (SELECT doc_id, unnest(regexp_extract_all(t, '" + chr(92) + "S+')) AS x FROM _src)")},
+ph AS (SELECT doc_id, term, list_transform(regexp_extract_all(term, '{P}'), lambda x: lower(x)) AS words FROM kt),
+td AS (SELECT doc_id, list(term ORDER BY position) AS terms, list("end" ORDER BY position) AS ends FROM tokens GROUP BY doc_id),
+ca AS (SELECT t.doc_id, t.position, t.start, td.ends[t.position + len(p.words)] AS "end", p.term, len(p.words) AS n
+       FROM tokens t JOIN ph p ON p.doc_id = t.doc_id AND len(p.words) > 0 AND p.words[1] = t.term JOIN td ON td.doc_id = t.doc_id
+       WHERE td.terms[t.position + 1 : t.position + len(p.words)] = p.words),
+lo AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, position ORDER BY n DESC, term) AS rn FROM ca) WHERE rn = 1),
+fo AS (SELECT doc_id, list_reduce(list({{'upto': "end", 'kept': [position]}} ORDER BY position), lambda a, c:
+         CASE WHEN a.upto > starts[c.kept[1] + 1] THEN a ELSE {{'upto': c.upto, 'kept': list_concat(a.kept, c.kept)}} END).kept AS kept
+       FROM (SELECT lo.*, s.starts FROM lo JOIN (SELECT doc_id, list(start ORDER BY position) AS starts FROM tokens GROUP BY doc_id) s USING (doc_id))
+       GROUP BY doc_id, starts),
+hits AS (SELECT lo.doc_id, lo.position, substr(s.t, lo.start + 1, lo."end" - lo.start) AS surface, lo.term, lo.start, lo."end"
+         FROM lo JOIN fo ON fo.doc_id = lo.doc_id AND list_contains(fo.kept, lo.position) JOIN _src s ON s.doc_id = lo.doc_id),
+{fragments()},
+{flat_raw()}"""
 # results_with_text / incremental: the flattened raw result joined or filtered.
 SQL["results_with_text"] = f"""WITH RECURSIVE {_FRAG},
 {flat_raw().rsplit('SELECT e.doc_id', 1)[0].rstrip().rstrip(',')}

@@ -94,3 +94,19 @@ def test_no_further_exchange_for_the_check(spark):
     d = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     plan = TK.tokenize(d)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_keyterms_through_the_highlight_fields_own_analyzer(spark):
+    rows = [(1, "Third-inning third e.g. third,inning (New-York)", "the third inning; new york, third INNING third inning. e.g"),
+            (2, "third --", "third -- inning"), (3, "plain york", "york")]
+    df = spark.createDataFrame(rows, "doc_id long, k string, h string")
+    cfg = E.ExtractConfig(keyword_col="k", highlight_col="h", analyzer="whitespace", highlight_analyzer="lower",
+                          keyword_stopwords=None, extract_contexts=True)
+    got = {r["doc_id"]: r for r in E.extract(df, cfg).collect()}
+    offsets = [[(o["start"], o["end"]) for o in os] for os in got[1]["offsets"]]
+    assert got[1]["keywords"] == ["third inning", "new york", "third INNING", "e.g"]
+    assert offsets == [[(4, 16), (41, 53)], [(18, 26)], [(28, 40)], [(55, 58)]]
+    assert all(rows[0][2][a:b] == k for k, os in zip(got[1]["keywords"], offsets) for a, b in os)
+    assert got[2]["keywords"] == ["third"] and got[3]["keywords"] == ["york"]
+    with pytest.raises(ValueError):
+        E.extract(df, cfg.with_(highlight_analyzer="english"))
