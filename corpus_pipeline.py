@@ -70,11 +70,21 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's result."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; the last one's result.  A stage's table is deleted once the
+    next one is written whole."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     home = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{home}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
