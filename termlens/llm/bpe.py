@@ -12,7 +12,7 @@ vocabulary's long tail is replayed once a task at most as long as it stays known
 
 Defined results: a null or empty text has no tokens; other columns are not read; repeated rows
 are coded row by row; a text holding characters the class tables are not sure of is cut by the
-pattern itself.
+pattern itself; a very long text is cut and coded in parts; an empty table gives no rows.
 """
 
 from __future__ import annotations

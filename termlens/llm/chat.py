@@ -10,7 +10,8 @@ Template of a turn: ``### role:\\n`` + text + ``</turn>\\n``.  Inside roles and
 neither control string can occur in a text, and the original is read back exactly.
 
 Defined results: null text or role is empty; a null turn sorts first; rows of a null
-``conv_id`` form one conversation; repeated rows are repeated turns; no rows, no examples.
+``conv_id`` form one conversation; repeated rows are repeated turns; no rows, no examples; a very
+long text is formatted whole; columns other than the four named are not read.
 
 Scale: one shuffle on the conversation gathers its turns (a conversation is one digest, so
 it must meet in one row); examples are exploded and read back in the same stage.  The

@@ -16,6 +16,8 @@
 Defined results: null or blank text has no words and fails the base rule; without usable
 labels only the forest of all rates rejects, above ``DEFAULT_CUT``; a document labelled twice counts with its lowest
 label; rows repeating an id are judged row by row, rows alike in id and counts are drawn as one; an empty table gives no rows.
+A very long text is counted whole, in parts; ``judge`` reads no columns but its own, ``keep_good`` hands on all
+columns, whatever their names.
 """
 
 from __future__ import annotations

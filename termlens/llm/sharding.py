@@ -13,7 +13,9 @@ ranked in ``(shard, key range)`` pieces of about ``piece_rows`` rows with counte
 no task ranks a whole shard.  The driver sees one count per partition, one per piece.
 
 Defined results: null text has size 1 and crc32 0; an empty table gives no rows; other columns
-are not read by the query and are carried through by ``shuffle_into_shards``.
+are not read by the query and are carried through by ``shuffle_into_shards`` (the result's ``shard`` and
+``slot`` stand beside them); repeated rows are rows of their own; a very long text enters the query as
+its size and checksum.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ from the start, so copies cost one row.
 
 Defined results: a text without words (null, empty, blank) has fingerprint zero and is linked
 like any other; a null id can be a row but is never a component's id unless all its ids are
-null; repeated rows are rows of one class; an empty table gives no rows.
+null; repeated rows are rows of one class; an empty table gives no rows; a very long text is hashed
+whole, in parts; ``keep_one`` hands on all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ a URL no rule matches gets ``default``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, matches no
 rule and gets ``default``; repeated rows each get their row; other columns of the input,
-whatever their names, are not read.
+whatever their names, are not read; a very long URL is matched whole, one character a step; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
