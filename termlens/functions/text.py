@@ -23,11 +23,12 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]++(?:['’.][\p{L}\p{N}_]++)*+"
 SQL_TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 # The audits' word splitter, first rule that applies.
 SPLITTER_PATTERN = (
-    r"(?i)https?://[^\s<>\"]+"                                   # URLs
-    r"|(?:\p{L}\.){2,}"                                         # abbreviations with their full stops
+    r"[hH][tT][tT][pP][sS]?://[^\s<>\"]++"                       # URLs
+    r"|(?:\p{L}\.){2,}+"                                        # abbreviations with their full stops
     r"|\p{Nd}++(?:[.,:]\p{Nd}++)*+"                            # numbers, times, decimals
-    r"|n['\u2019]t(?![\p{L}\p{N}_])|['\u2019](?:s|re|ve|ll|d|m)(?![\p{L}\p{N}_])"  # endings of contractions
-    r"|[\p{L}\p{M}\p{N}_]+?(?=n['\u2019]t(?![\p{L}\p{N}_]))"  # what stands before them
+    r"|[nN]['\u2019][tT](?![\p{L}\p{N}_])"                      # endings of contractions
+    r"|['\u2019](?:[sSdDmM]|[rR][eE]|[vV][eE]|[lL][lL])(?![\p{L}\p{N}_])"
+    r"|[\p{L}\p{M}\p{N}_]+?(?=[nN]['\u2019][tT](?![\p{L}\p{N}_]))"  # what stands before n't
     r"|[\p{L}\p{M}\p{N}_]++(?:-[\p{L}\p{M}\p{N}_]++)*+"       # words, joined by hyphens
     r"|\S")
 # Tokens of the white-space analyzer.

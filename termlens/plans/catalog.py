@@ -601,7 +601,9 @@ def audit_contexts(spark, sf):
 def audit_keyterm_words(spark, sf):
     """V2 and V3 again, with words from a splitter that shares nothing with the tokeniser."""
     d = _docs(spark, sf)
-    res = E.extract(d, RAW_CTX)
+    path = f"{ensure_checkpoint_dir(spark)}/termlens-audited-{uuid.uuid4().hex}"
+    E.extract(d, RAW_CTX).write.parquet(path)
+    res = spark.read.parquet(path)
     return _audit(AU.audit_keyterm_words(res, d)).unionByName(_audit(AU.audit_context_words(res)))
 
 
