@@ -43,7 +43,7 @@ from termlens.operators.skew import salted_join
 
 UNIT = 1_000_000_000
 BLOCK, TILE, LEAF = 4096, 48, 8
-PART_BYTES, HELD_TERMS, LEAF_PAIRS = 1 << 18, 1 << 18, 512
+PART_BYTES, HELD_TERMS, LEAF_PAIRS = 1 << 18, 1 << 16, 512
 #: A-Z become a-z, letters and bytes of other scripts stay, everything else parts terms.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
