@@ -90,3 +90,25 @@ def test_marks_round_trip(spark):
 def test_parse_offsets(spark):
     got = _one(spark, X.parse_offsets("t"), "0:0-7,56-66:105")
     assert [(r.start, r.end) for r in got] == [(0, 7), (56, 66)]
+
+
+def test_tokens_are_placed_inside_their_row(spark):
+    """No row per token is sorted for its offsets; sums go on over the blocks of ``running_starts``."""
+    text = "".join(f"{'é' * (i % 3)}w{i}{' ' * (i % 5 + 1)}" for i in range(1000))
+    df = spark.createDataFrame([(1, text), (2, ""), (3, "--"), (4, None)], "doc_id long, text string")
+    rows = sorted(TK.tokenize(df, analyzer="none").collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(1000))
+    assert all(text[r.start:r.end] == r.surface for r in rows) and rows[-1].surface.endswith("w999")
+    plan = TK.tokenize(df)._jdf.queryExecution().executedPlan().toString()
+    assert "position" not in "".join(line for line in plan.splitlines() if "Sort " in line or "Window " in line)
+    assert "regexp_extract_all" not in "".join(line for line in plan.splitlines() if "Filter" in line)
+
+
+def test_gathered_vectors_equal_rows(spark):
+    df = spark.createDataFrame([(1, "b a b c a b"), (2, ""), (3, "--"), (4, None), (5, "x")], "doc_id long, text string")
+    rows = TK.term_vectors(TK.tokenize(df))
+    gathered = TK.tokenize(df, gathered=True)
+    assert sorted(map(str, TK.term_vectors(gathered).collect())) == sorted(map(str, rows.collect()))
+    order = TK.tokens_in_order(TK.term_vectors(gathered, gathered=True))
+    assert sorted(map(str, order.collect())) == sorted(map(str, TK.tokens_in_order(rows).collect()))
+    assert order._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
