@@ -85,3 +85,19 @@ def test_context_windows_rows(spark):
     hits = spark.createDataFrame([(1, p) for p in (0, 4, 6, 20)], "doc_id long, position long")
     got = sorted((r.island, r.lo, r.hi) for r in CX.context_windows(hits, 3).collect())
     assert got == [(1, 0, 9), (2, 17, 23)]
+
+
+def test_duplicate_passages_travel_without_tokens(spark):
+    """Passages are exchanged as hashes, once; before, every token with its passage was, three times."""
+    rows = [(1, "a", "x y z q r s t"), (2, "a", "x y z q r s t"), (3, "a", "n x y z q m"), (4, "b", "x y z q"),
+            (5, None, "x y z q"), (6, "a", "x y"), (7, "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, grp string, text string")
+    grouped = ST.drop_duplicate_passages(ST.grouped_tokens(docs, "grp"), "grp", 3)
+    toks = TK.tokenize(docs).join(docs.select("doc_id", "grp"), "doc_id")
+    kept = ST.drop_duplicate_passages(toks, "grp", 3).select("doc_id", "grp", "position", "term")
+    assert sorted(map(str, grouped.collect())) == sorted(map(str, kept.collect()))
+    at = [(r.doc_id, r.position) for r in grouped.select("doc_id", "position").collect()]
+    assert [p for d, p in sorted(at) if d == 2] == [] and [p for d, p in sorted(at) if d == 3] == [0, 1, 2, 3, 4, 5]
+    assert len([1 for d, _ in at if d in (1, 4, 5, 6)]) == 7 + 4 + 4 + 2
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and ("term" in line or "surface" in line) for line in plan.splitlines())
