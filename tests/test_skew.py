@@ -6,8 +6,10 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from termlens.operators import select as SEL
 from termlens.operators import skew as SK
 from termlens.operators import stats as ST
+from termlens.operators import tokens as TK
 from termlens.plans import extract as E
 
 K = 5
@@ -107,3 +109,29 @@ def test_stopword_dataframe_before_topk_salted(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want and not any(t in ("the", "w1") for _, t, _ in got)
+
+
+def _plan(spark, df) -> str:
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_texts_are_dealt_before_they_are_analysed(spark):
+    """A file of one row group is one task's: its texts are exchanged before the tokeniser."""
+    docs = spark.createDataFrame([(i, f"alpha word{i} word{i % 7}", "a") for i in range(40)] + [(None, "alpha beta", "b")],
+                                 "doc_id long, text string, source string").coalesce(1)
+    for df in (TK.doc_terms(docs), TK.term_frequencies(docs), ST.background(docs), ST.foreground(docs, "source")):
+        below = _plan(spark, df).split("Generate explode")[1]
+        assert "Exchange hashpartitioning(doc_id" in below
+    held = {r["term"]: r["bg_count"] for r in ST.background(docs).collect()}
+    assert held["alpha"] == 41 and held["beta"] == 1 and held["word3"] == 6 and held["word30"] == 1
+
+
+def test_background_is_counted_once(spark):
+    """The counts, their sum, the hot terms and the number of documents read one aggregate."""
+    docs = spark.createDataFrame([(i, f"alpha word{i} word{i % 7}") for i in range(40)], "doc_id long, text string")
+    plan = _plan(spark, SEL.keyterms(docs, k=2))
+    assert plan.count("Generate explode(concat(") == 1
