@@ -1,5 +1,6 @@
 """Quality rules, language ID and top-k: plain counts, held-out accuracy, brute force."""
 
+import itertools
 import random
 import re
 
@@ -252,6 +253,26 @@ def test_topk_many_runs_and_query_blocks(spark, monkeypatch, bits):
     run_topk(spark, [(k, rng.normal(0, 1, 4).tolist()) for k in range(130)], k=3)
 
 
+def test_topk_makes_no_row_per_query_and_annulus(spark, monkeypatch):
+    """What the grouped Python steps hand on grows with queries and vectors, not with queries times annuli."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps, PandasGroupedOpsMixin
+    made = []
+    for kind, name in itertools.product((PandasCogroupedOps, PandasGroupedOpsMixin), ("applyInPandas", "applyInArrow")):
+        monkeypatch.setattr(kind, name, lambda *a, f=getattr(kind, name), **b: made.append(f(*a, **b)) or made[-1])
+    for name, value in (("ANNULUS", 5), ("QUERIES", 50), ("PIVOTS", 3), ("GROUPS", 1)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rng = np.random.default_rng(6)
+    run_topk(spark, [(k, rng.normal(0, 1, 12).tolist()) for k in range(160)], k=3)
+    assert max(df.count() for df in made) <= 160
+
+
+def test_topk_vectors_of_all_integer_widths(spark):
+    """Components that need one, two or four bytes in one table; equal vectors stay one class."""
+    rows = [(k, [(-1.0) ** k * 10.0 ** (k % 7), k % 3 - 1.0, 1.984375 * (k % 2)]) for k in range(60)]
+    run_topk(spark, rows + [(100 + k, x) for k, x in rows[:20]])
+    run_topk(spark, [(k, [0.5 * k, -1.0]) for k in (0, 4, 3, -4, -5)])
+
+
 def test_topk_query(spark):
     rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = {tuple(r) for r in QUERIES["op6_exact_topk"](spark, SF).collect()}
