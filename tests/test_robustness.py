@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from termlens.functions import stem as S
 from termlens.functions import text as X
 from termlens.operators import audit as AU
+from termlens.operators import contexts as CX
 from termlens.operators import stats as ST
 from termlens.operators import tokens as TK
 from termlens.plans import extract as E
@@ -183,3 +184,38 @@ def test_splitter_and_planted_tokenizer_errors(spark):
                                      "doc_id long, keywords array<string>, contexts array<string>") for r in rows]
     found = [tuple(AU.audit_keyterm_words(r, docs).first()) for r in results] + [tuple(AU.audit_context_words(r).first()) for r in results]
     assert found == [("keyterm words", 0, 7), ("keyterm words", 4, 5), ("context words", 0, 7), ("context words", 4, 5)]
+
+
+def test_contexts_count_a_text_once(spark):
+    """Counting a text's characters reads all of it; the windows of a document share one count."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string").withColumn(
+        "g", F.array(F.struct(F.lit(0).cast("long").alias("fs"), F.lit(1).cast("long").alias("fe"))))
+    plan = docs.select(CX.fragment_windows(F.col("g"), F.col("text")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("length(text#") == 1
+
+
+def test_word_audit_deals_texts(spark, tmp_path):
+    """One file, a small result: the join is a broadcast, and the texts are still dealt to tasks."""
+    docs = spark.createDataFrame([(k, "alpha beta") for k in range(20)], "doc_id long, text string").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    res = docs.select("doc_id", F.array(F.lit("alpha")).alias("keywords"))
+    audit = AU.audit_keyterm_words(res, docs)
+    assert "REPARTITION_BY_COL" in audit._jdf.queryExecution().executedPlan().toString()
+    assert tuple(audit.first()) == ("keyterm words", 0, 20)
+
+
+def test_word_audit_forms(spark):
+    """Words as they stand, pieces, stripped forms of words and of keywords, missing ones, each once."""
+    text = "the 22-year-old a-b cd. x_y it's U.S. co-op's ... end"
+    kws = ["the", "22", "ab", "c.d", "x_y", "it's", "s", "U.S", "coops", "...", ".", "xy", "gone", "g-one", "gone", "c"]
+    words = F.array(*map(F.lit, kws))
+    known = set()
+    for w in spark.range(1).select(X.expand_punct(F.concat(X.split_words(F.lit(text)), F.array(
+            *map(F.lit, ["the", "22", "year", "old", "a", "b", "cd", "x_y", "it's", "U.S", "co", "op's", "", "end"]))))).first()[0]:
+        known.add(w)
+    strip = {k: "".join(c for c in k if c not in X.PUNCTUATION) for k in kws}
+    want = len({strip[k] for k in kws if k not in known} - known)
+    res = spark.range(1).select(F.col("id").alias("doc_id"), words.alias("keywords"))
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    assert tuple(AU.audit_keyterm_words(res, docs).first()) == ("keyterm words", want, len(kws)) and want >= 1
